@@ -4,10 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.llm import nearest
+from tracewright.llm import nearest, splits
 from tracewright.session import table
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return splits.found(table(spark, d, "metadata"))
+
+
+def p2_splits(spark: SparkSession, d: str) -> DataFrame:
+    return splits.split_rows(table(spark, d, "metadata"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return nearest.found(table(spark, d, "frames"), table(spark, d, "camera_index"), table(spark, d, "metadata"))
 
@@ -32,5 +40,5 @@ m as (select frame_row_id, tol, case when bd is null then ad when ad is null the
 select frame_row_id, id as camera_row_id from m where d <= tol
 """
 
-QUERIES = {"p6_found": p6_found}
+QUERIES = {"p2_found": p2_found, "p2_splits": p2_splits, "p6_found": p6_found}
 ORACLES: dict[str, str] = {"p6_found": P6_SQL}
