@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.llm import leaks, nearest, splits
+from tracewright.llm import leaks, nearest, pii, splits
 from tracewright.session import table
 
 
@@ -24,6 +24,14 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found(table(spark, d, "documents"))
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redact(table(spark, d, "documents").select("doc_id", "text"))
+
+
 P6_SQL = """
 with fps as (select episode_id, max(fps) as fps from metadata where isfinite(fps) and fps > 0 group by episode_id),
 f as (select frame_row_id, episode_id, "timestamp" as t, v as "view", coalesce(0.5 / fps, 0.02) as tol
@@ -44,5 +52,5 @@ m as (select frame_row_id, tol, case when bd is null then ad when ad is null the
 select frame_row_id, id as camera_row_id from m where d <= tol
 """
 
-QUERIES = {"p8_found": p8_found, "p2_found": p2_found, "p2_splits": p2_splits, "p6_found": p6_found}
+QUERIES = {"p10_found": p10_found, "p10_redacted": p10_redacted, "p8_found": p8_found, "p2_found": p2_found, "p2_splits": p2_splits, "p6_found": p6_found}
 ORACLES: dict[str, str] = {"p6_found": P6_SQL}
