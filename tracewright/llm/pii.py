@@ -177,7 +177,7 @@ def candidates(text: str, lex: Lexicon) -> list[tuple[str, int, int, str, list[i
         a, b = m.span()
         s = m.group()
         digits = sum(ch.isdigit() for ch in s)
-        if digits < 7 or held(a, b):
+        if digits < (6 if s[0].isalpha() else 7) or held(a, b):
             continue
         before, after = _context(text, a, b)
         no = bool(NOT_NUMBER.search(before)) or None
