@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewright.llm import leaks, nearest, pii, splits
+from tracewright.llm import leaks, mixing, nearest, pii, splits
 from tracewright.session import table
 
 
@@ -24,6 +24,14 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mixing.shares(p9_mix(spark, d), table(spark, d, "mix_targets"))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return pii.found(table(spark, d, "documents"))
 
@@ -52,5 +60,14 @@ m as (select frame_row_id, tol, case when bd is null then ad when ad is null the
 select frame_row_id, id as camera_row_id from m where d <= tol
 """
 
-QUERIES = {"p10_found": p10_found, "p10_redacted": p10_redacted, "p8_found": p8_found, "p2_found": p2_found, "p2_splits": p2_splits, "p6_found": p6_found}
+QUERIES = {
+    "p2_found": p2_found,
+    "p2_splits": p2_splits,
+    "p6_found": p6_found,
+    "p8_found": p8_found,
+    "p9_mix": p9_mix,
+    "p9_shares": p9_shares,
+    "p10_found": p10_found,
+    "p10_redacted": p10_redacted,
+}
 ORACLES: dict[str, str] = {"p6_found": P6_SQL}
