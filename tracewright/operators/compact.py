@@ -7,7 +7,7 @@ the target. It is committed (renamed) only after a multiset checksum of the writ
 equals that of the distinct records read; otherwise it is removed and an error raised.
 
 Defined results: blank lines and lines that are not one whole JSON object are no records
-but count for line numbers; null or empty contents hold no lines; missing or null keys are
+but count for line numbers; null or empty contents hold no lines; files without an id are passed over; missing or null keys are
 equal to each other; a key of any number of copies is met by an anti join on line identity,
 so copies never gather in one task; extra columns are unread.
 """
@@ -50,7 +50,7 @@ def path_in_episode(path: Column, episode: Column) -> Column:
 def frame_records(raw_files: DataFrame) -> DataFrame:
     """Frame records with their canonical identity and where each was read."""
     get = lambda k: F.try_variant_get("v", f"$.{k}", "string")
-    r = json_lines(raw_files.where(F.col("stream_name") == "frames").select("file_id", "content")).select(
+    r = json_lines(raw_files.where((F.col("stream_name") == "frames") & F.col("file_id").isNotNull()).select("file_id", "content")).select(
         "file_id",
         "line_no",
         F.lower(F.trim(get("episode_id"))).alias("episode_id"),

@@ -10,7 +10,7 @@ Order within a source is made without gathering a source in one task: files are
 partitioned by (source, time), positions and last-known types are carried over the ends of
 these chunks by a small table with one row per chunk, source and field.
 
-Defined results: files without any record have no fingerprint and are passed over; nulls
+Defined results: files without an id or any record have no fingerprint and are passed over; nulls
 tell no type, a field's type stays as last known; a field of mixed types in one file has
 its most frequent one (ties: by name); files of one instant go by file_id; extra columns are
 unread; an empty table gives an empty report.
@@ -39,7 +39,7 @@ RENAME_SCORE = 0.5
 def field_values(raw_files: DataFrame) -> DataFrame:
     """One row per file, line and top-level field: name, kind and a profile of the value."""
     lines = json_lines(
-        raw_files.where(F.col("stream_name").isin(*STREAMS)).select("file_id", "recorder_id", "stream_name", "written_at", "content")
+        raw_files.where(F.col("stream_name").isin(*STREAMS) & F.col("file_id").isNotNull()).select("file_id", "recorder_id", "stream_name", "written_at", "content")
     )
     spark = raw_files.sparkSession
     x = lines.lateralJoin(spark.tvf.variant_explode(F.col("v").outer()))

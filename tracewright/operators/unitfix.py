@@ -51,10 +51,11 @@ def stream_statements(streams_index: DataFrame, stream: str, kinds: tuple[str, .
 def with_factors(records: DataFrame, streams_index: DataFrame, stream: str, kinds: tuple[str, ...]) -> DataFrame:
     """Adds <kind>_factor and <kind>_stated (record, entry, notes or null) to the records."""
     small = broadcast_if_small(stream_statements(streams_index, stream, kinds), 24 + 34 * len(kinds))
+    own = [f"{k}_{x}" for k in kinds for x in ("factor", "stated", "entry", "notes")]
+    records = records.drop("__ep", *own)  # columns of these names would be taken for ours
     out = records.join(small.withColumnRenamed("episode_id", "__ep"), F.col("episode_id") == F.col("__ep"), "left")
     for k in kinds:
-        own = stated_factor(F.col("units"), k)
-        out = out.withColumn(f"__own_{k}", own)
+        out = out.withColumn(f"__own_{k}", stated_factor(F.col("units"), k))
         e, n = F.col(f"{k}_entry"), F.col(f"{k}_notes")
         out = out.withColumn(f"{k}_factor", F.coalesce(F.col(f"__own_{k}"), e, n, F.lit(1.0)))
         out = out.withColumn(
@@ -193,7 +194,8 @@ def convert_gripper(gripper: DataFrame, streams_index: DataFrame) -> DataFrame:
     u = gripper_units(gripper, streams_index)
     small = broadcast_if_small(u, 64).select(F.col("episode_id").alias("__ep"), "factor", "stated", "posterior", "uncertain")
     return (
-        gripper.join(small, F.col("episode_id").eqNullSafe(F.col("__ep")), "left")
+        gripper.drop("__ep", "factor", "stated", "posterior", "uncertain")
+        .join(small, F.col("episode_id").eqNullSafe(F.col("__ep")), "left")
         .withColumn("gripper_width_m", F.col("gripper_width_m") * F.col("factor"))
         .drop("__ep")
     )
