@@ -13,8 +13,9 @@ SI = "entry_id long, episode_id string, stream_name string, units string, notes
 def series(n=300, seed=0, level=5.0, noise=0.1):
     r = np.random.default_rng(seed)
     x = r.normal(scale=noise, size=(n, 6)) + level
-    x[n // 2 : n // 2 + 60] += np.linspace(0, 30, 60)[:, None]  # a contact
-    x[n // 2 + 60 :] += 30
+    if n >= 200:
+        x[n // 2 : n // 2 + 60] += np.linspace(0, 30, 60)[:, None]  # a contact
+        x[n // 2 + 60 :] += 30
     return x
 
 
@@ -81,7 +82,7 @@ def test_copies_are_flagged_all(spark):
 
 def test_awkward_cases(spark):
     ok = [1.0] * 6
-    rows = [(1, None, 0, ok, None, None), (2, "e", None, [1.0, float("nan"), 1, 1, 1, 1], None, None), (3, "e", 1, [1.0, 2.0], None, None), (4, "e", 2, None, None, None), (5, "e", 3, [None] * 6, None, None)]
+    rows = [(1, None, 0, ok, None, None), (2, "e", None, [1.0, float("nan"), 1.0, 1.0, 1.0, 1.0], None, None), (3, "e", 1, [1.0, 2.0], None, None), (4, "e", 2, None, None, None), (5, "e", 3, [None] * 6, None, None)]
     r = clashing(spark.createDataFrame(rows, R))
     f = clashing(spark.createDataFrame([(9, "e", 0, [0.0] * 7, True), (10, "e", 1, [float("inf")] * 7, None)], FR))
     got = {tuple(x) for x in spikes.found(r, f, clashing(spark.createDataFrame([], SI))).collect()}

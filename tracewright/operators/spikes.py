@@ -230,6 +230,11 @@ def _spikes(s: Series, phi: np.ndarray, sigma: np.ndarray) -> tuple[np.ndarray,
             k = cand[:, c]
             if not k.any():
                 continue
+            # the largest first: neighbours whose level only suffers from an outlier wait
+            part = np.cumsum(~(k & np.r_[False, k[:-1]] & same))
+            top = np.zeros(part[-1] + 1)
+            np.maximum.at(top, part, np.where(k, z[:, c], 0.0))
+            k = k & (z[:, c] >= 0.5 * top[part])
             fresh = k & ~(np.r_[False, k[:-1]] & same)
             run = np.cumsum(fresh) - 1
             where = np.flatnonzero(k)
