@@ -40,7 +40,8 @@ KINDS = ("email", "phone", "idnum", "address", "name")
 PLACEHOLDER = {"email": "[EMAIL]", "phone": "[PHONE]", "idnum": "[ID]", "address": "[ADDRESS]", "name": "[NAME]"}
 
 # --- e-mail ---------------------------------------------------------------------------
-_LOCAL = r"[A-Za-z0-9][A-Za-z0-9._%+\-]*"
+# a match begins where a word begins: else a very long word would be tried from every place
+_LOCAL = r"(?<![A-Za-z0-9._%+\-])[A-Za-z0-9][A-Za-z0-9._%+\-]*"
 _HOST = r"[A-Za-z0-9][A-Za-z0-9\-]*"
 EMAIL = re.compile(rf"{_LOCAL}@{_HOST}(?:\.{_HOST})+")
 SPELLED_EMAIL = re.compile(
