@@ -56,8 +56,14 @@ def test_seeds_differ_and_repeat(spark):
 
 
 def test_tokens_are_the_tokenizers(spark):
-    d = spark.createDataFrame([(1, "Insert the peg into the hole.", "a"), (2, "", "a"), (3, None, None)], D)
-    assert {r["doc_id"]: r["tokens"] for r in mixing.count_tokens(d).collect()} == {1: 8, 2: 0, 3: 0}
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file("/opt/tokenizers/byte_bpe_50k.json")
+    t.encode_special_tokens = True
+    texts = ["Insert the peg into the hole.", "", "Überprüft: 그리퍼 폭이 97 mm 에서 멈췄다.\n\n  3.14159  don't <|endoftext|>", "  tabs\tand   runs "]
+    d = spark.createDataFrame([(i, x, "a") for i, x in enumerate(texts)] + [(9, None, None)], D)
+    want = {i: len(t.encode(x, add_special_tokens=False).ids) for i, x in enumerate(texts)} | {9: 0}
+    assert {r["doc_id"]: r["tokens"] for r in mixing.count_tokens(d).collect()} == want
 
 
 def test_awkward_cases(spark):

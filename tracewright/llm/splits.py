@@ -27,6 +27,8 @@ BIG = 0.01
 BUCKETS = 1024
 #: A value this much rarer than one that is a single edit away is a misspelling of it.
 TYPO_RATIO = 4
+#: Shorter labels are never taken for misspellings.
+TYPO_LENGTH = 6
 
 
 def episode_number(c: Column) -> Column:
@@ -57,7 +59,7 @@ def correct_values(values: DataFrame) -> DataFrame:
     b = forms.select(F.col("value").alias("right"), F.col("count").alias("m"), "form")
     return (
         a.join(b, "form")
-        .where((F.col("m") >= TYPO_RATIO * F.col("n")) & (F.levenshtein("value", "right") <= 2))
+        .where((F.col("m") >= TYPO_RATIO * F.col("n")) & (F.levenshtein("value", "right") <= 2) & (F.length("value") >= TYPO_LENGTH))
         .groupBy("value")
         .agg(F.max_by("right", F.struct("m", "right")).alias("right"))
     )
