@@ -10,13 +10,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-RECORD = T.StructType.fromDDL("episode_id string, record_index long, event_time timestamp, position array<double>, gripper double, last boolean")
+RECORD = "episode_id string, record_index long, event_time timestamp, position array<double>, gripper double, last boolean"
 
 
-def read_lines(spark: SparkSession, folder: str, schema: T.StructType = RECORD, files_per_trigger: int = 100) -> DataFrame:
+def read_lines(spark: SparkSession, folder: str, schema: str = RECORD, files_per_trigger: int = 100) -> DataFrame:
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_trigger).json(folder)
 
 
