@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewright.functions.geometry import at, minus, quaternion_of, relative_rotvec, vec
+from tracewright.functions.geometry import at, conjugate, minus, multiply, quaternion_of, relative_rotvec, rotvec_of, unit_quaternion, vec
 from tracewright.functions.vectors import ACTION_DIM
 
 STRETCH = 8192
@@ -36,16 +36,18 @@ def delta_action(p0: Column, q0: Column, g0: Column, p1: Column, q1: Column, g1:
 def measured_actions(poses: DataFrame, group: str, index: str) -> DataFrame:
     """poses (group, index, position in m, rotation vector in rad, gripper) with ``action``
     to the next record and ``terminal``: the last record has zeros and the mark."""
-    p = stretches(poses.withColumn("q", quaternion_of(F.col("rotation"))), index, 1)
+    p = stretches(poses.withColumn("q0", quaternion_of(F.col("rotation"))).withColumn("q", unit_quaternion(F.col("q0"))).drop("q0"), index, 1)
     w = Window.partitionBy(group, "stretch").orderBy(index)
     nxt = {c: F.lead(c).over(w) for c in (index, "position", "q", "gripper")}
     out = p
     for c, e in nxt.items():
         out = out.withColumn(f"n_{c}", e)
-    act = delta_action(F.col("position"), F.col("q"), F.col("gripper"), F.col("n_position"), F.col("n_q"), F.col("n_gripper"))
+    # step by step, so that no expression is written out many times in another
+    out = out.withColumn("rel", multiply(conjugate(F.col("q")), F.col("n_q"))).withColumn("rot", rotvec_of(F.col("rel"))).withColumn("move", minus(F.col("n_position"), F.col("position")))
+    act = F.concat("move", "rot", F.array(F.coalesce(F.col("n_gripper") - F.col("gripper"), F.lit(0.0))))
     last = F.col(f"n_{index}").isNull()
     zeros = F.array_repeat(F.lit(0.0), ACTION_DIM)
-    return out.where("own").withColumn("action", F.when(last, zeros).otherwise(act)).withColumn("terminal", last).drop("stretch", "own", "q", *(f"n_{c}" for c in nxt))
+    return out.where("own").withColumn("action", F.when(last, zeros).otherwise(act)).withColumn("terminal", last).drop("stretch", "own", "q", "rel", "rot", "move", *(f"n_{c}" for c in nxt))
 
 
 def action_chunks(actions: DataFrame, group: str, index: str, horizon: int, pad: str = "repeat_last") -> DataFrame:
