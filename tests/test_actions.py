@@ -54,3 +54,38 @@ def test_relative_time_falls_back(spark):
 def test_last_valid(spark):
     df = spark.createDataFrame([("a", 0, 3.0), ("a", 1, None), ("a", 2, 2.0), ("a", 3, 2.0)], "g string, i long, s double")
     assert [r["falls"] for r in A.falls_below_last_valid(df, "g", "i", "s").orderBy("i").collect()] == [False, False, True, False]
+
+
+HOLES = {  # with stretches of 8: boundary records lost, whole stretches lost, stretches of a row or two
+    "first of a stretch": [i for i in range(40) if i not in (8, 16, 17, 18, 31, 32)],
+    "whole stretches": [*range(8), 24, 25, 41, *range(60, 70), 200],
+    "single rows": list(range(3, 200, 9)),
+    "none": list(range(30)),
+}
+
+
+@pytest.mark.parametrize("holes", HOLES)
+@pytest.mark.parametrize("pad", ["repeat_last", "zero"])
+def test_chunks_over_holes(spark, monkeypatch, holes, pad):
+    monkeypatch.setattr(A.stretches, "__defaults__", (0, 8))
+    at, horizon = HOLES[holes], 5
+    df = rows(spark, 201).where(F.col("i").isin(at))
+    df = df.unionByName(df.withColumn("g", F.lit(None).cast("string")))
+    got = {(r["g"], r["i"]): ([c[0] for c in r["chunk"]], r["valid"], r["padded"]) for r in A.action_chunks(df, "g", "i", horizon, pad).collect()}
+    want = {}
+    for k, i in enumerate(at):
+        real = at[k : k + horizon]
+        want[i] = (real + [real[-1] if pad == "repeat_last" else 0] * (horizon - len(real)), len(real), horizon - len(real))
+    assert got == {(g, i): x for g in ("e", None) for i, x in want.items()}
+
+
+@pytest.mark.parametrize("holes", HOLES)
+def test_terminal_only_at_the_end_over_holes(spark, monkeypatch, holes):
+    monkeypatch.setattr(A.stretches, "__defaults__", (0, 8))
+    at = HOLES[holes]
+    p = rows(spark, 201).where(F.col("i").isin(at)).select(
+        "g", "i", F.array(F.col("i").cast("double"), F.lit(0.0), F.lit(0.0)).alias("position"), F.array_repeat(F.lit(0.0), 3).alias("rotation"), F.lit(None).cast("double").alias("gripper")
+    )
+    out = A.measured_actions(p, "g", "i").orderBy("i").collect()
+    assert [r["i"] for r in out if r["terminal"]] == [at[-1]]
+    assert [r["action"][0] for r in out] == [b - a for a, b in zip(at, at[1:])] + [0.0]

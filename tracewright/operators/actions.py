@@ -1,8 +1,8 @@
 """Measured actions, action chunks, relative time: what looks along an episode.
 
 A window over an episode sorts it in one task. Where an episode may be as long as a third
-of all rows, ``stretches`` cuts it at index multiples and hands every stretch the first
-records of the next (a halo as long as the look-ahead), so any episode spreads."""
+of all rows, ``stretches`` cuts it at index multiples and hands every stretch the records
+that follow it (a halo of as many rows as the look-ahead), so any episode spreads."""
 
 from __future__ import annotations
 
@@ -15,15 +15,40 @@ from tracewright.functions.vectors import ACTION_DIM
 STRETCH = 8192
 
 
-def stretches(df: DataFrame, index: str, ahead: int, behind: int = 0, length: int = STRETCH) -> DataFrame:
-    """Adds ``stretch`` and ``own``: every row in its own stretch, the first ``ahead`` rows
-    of a stretch also at the end of the one before, the last ``behind`` at the start of
-    the next. Index gaps only make halos shorter than asked for if whole stretches are
-    empty, so the index has to be dense on the scale of a stretch."""
-    s = F.floor(F.col(index) / length)
-    off = F.col(index) % length
-    where = F.array_compact(F.array(s, F.when((off < ahead) & (s > 0), s - 1), F.when(off >= length - behind, s + 1)))
-    return df.withColumn("stretch", F.explode(where)).withColumn("own", F.col("stretch") == F.floor(F.col(index) / length))
+#: The stretch of the rows without an index: they come last, as in SQL.
+NO_INDEX = 2**63 - 1
+
+
+def stretch_of(index: str, length: int) -> Column:
+    return F.coalesce(F.floor(F.col(index) / length), F.lit(NO_INDEX))
+
+
+def stretches(df: DataFrame, group: str, index: str, ahead: int, behind: int = 0, length: int = STRETCH) -> DataFrame:
+    """Adds ``stretch`` and ``own``: every row in its own stretch, and at the end of each
+    stretch the ``ahead`` rows of the group that follow it, wherever they stand: gaps of any
+    width and short or empty stretches change nothing. The last ``behind`` indexes of a
+    stretch are also put at the start of the next."""
+    s = stretch_of(index, length)
+    where = F.array_compact(F.array(s, F.when(F.col(index) % length >= length - behind, s + 1)))
+    own = df.withColumn("stretch", F.explode(where)).withColumn("own", F.col("stretch") == s)
+    return own.unionByName(_following(df, group, index, ahead, length)) if ahead else own
+
+
+def _following(df: DataFrame, group: str, index: str, ahead: int, length: int) -> DataFrame:
+    """The first ``ahead`` rows after each stretch, in that ``stretch`` and not its ``own``.
+    They are among the first rows of the stretches; which go where tells a table with one
+    row a stretch: a row goes back over stretches while fewer than ``ahead`` rows are passed."""
+    w = Window.partitionBy(group, "stretch").orderBy(index)
+    heads = df.withColumn("stretch", stretch_of(index, length)).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= ahead)
+    g = Window.partitionBy(group).orderBy("stretch")
+    sizes = heads.groupBy(group, "stretch").agg(F.max("rank").alias("size")).withColumn("upto", F.sum("size").over(g))
+    past = F.col("upto") - F.col("size")
+    before = F.collect_list(F.struct("stretch", "upto")).over(g.rowsBetween(-ahead, -1))
+    back = sizes.select(F.col(group).alias("__group"), F.col("stretch").alias("__stretch"), past.alias("past"), before.alias("before"))
+    back = back.withColumn("before", F.filter("before", lambda b: F.col("past") - b["upto"] < ahead))
+    to = F.filter("before", lambda b: F.col("past") + F.col("rank") - b["upto"] <= ahead)
+    j = heads.join(back, F.col(group).eqNullSafe(F.col("__group")) & (F.col("stretch") == F.col("__stretch")))
+    return j.withColumn("stretch", F.explode(F.transform(to, lambda b: b["stretch"]))).select(*df.columns, "stretch", F.lit(False).alias("own"))
 
 
 def delta_action(p0: Column, q0: Column, g0: Column, p1: Column, q1: Column, g1: Column) -> Column:
@@ -36,8 +61,8 @@ def delta_action(p0: Column, q0: Column, g0: Column, p1: Column, q1: Column, g1:
 def measured_actions(poses: DataFrame, group: str, index: str) -> DataFrame:
     """poses (group, index, position in m, rotation vector in rad, gripper) with ``action``
     to the next record and ``terminal``: the last record has zeros and the mark."""
-    p = stretches(poses.withColumn("q0", quaternion_of(F.col("rotation"))).withColumn("q", unit_quaternion(F.col("q0"))).drop("q0"), index, 1)
-    w = Window.partitionBy(group, "stretch").orderBy(index)
+    p = stretches(poses.withColumn("q0", quaternion_of(F.col("rotation"))).withColumn("q", unit_quaternion(F.col("q0"))).drop("q0"), group, index, 1)
+    w = Window.partitionBy(group, "stretch").orderBy(F.col(index).asc_nulls_last())
     nxt = {c: F.lead(c).over(w) for c in (index, "position", "q", "gripper")}
     out = p
     for c, e in nxt.items():
@@ -57,8 +82,8 @@ def action_chunks(actions: DataFrame, group: str, index: str, horizon: int, pad:
         raise ValueError("horizon must be positive")
     if pad not in ("repeat_last", "zero"):
         raise ValueError("pad must be repeat_last or zero")
-    a = stretches(actions, index, horizon - 1)
-    w = Window.partitionBy(group, "stretch").orderBy(index).rowsBetween(0, horizon - 1)
+    a = stretches(actions, group, index, horizon - 1)
+    w = Window.partitionBy(group, "stretch").orderBy(F.col(index).asc_nulls_last()).rowsBetween(0, horizon - 1)
     real = F.collect_list("action").over(w)
     out = a.withColumn("real", real).where("own")
     filler = F.element_at("real", -1) if pad == "repeat_last" else F.transform(F.element_at("real", -1), lambda x: F.lit(0.0))
@@ -88,7 +113,7 @@ def relative_time(df: DataFrame, group: str, index: str, stamp: str, fallback: s
     increases throughout, else on ``fallback`` if that does, else null; and ``increasing``.
     The verdicts are sums over stretches, so groups need not fit into a task."""
     cols = [stamp] + ([fallback] if fallback else [])
-    s = stretches(df, index, 0, 1)
+    s = stretches(df, group, index, 0, 1)
     w = Window.partitionBy(group, "stretch").orderBy(index)
     for c in cols:
         s = s.withColumn(f"bad_{c}", F.col(c).isNull() | (F.lag(c).over(w).isNotNull() & (F.col(c) <= F.lag(c).over(w))))
@@ -107,6 +132,6 @@ def falls_below_last_valid(df: DataFrame, group: str, index: str, stamp: str) ->
     """Adds ``falls``: the value is lower than the last valid one before it (values that
     are null or not finite are passed over). Halos cover runs of up to 64 invalid values."""
     v = F.when(F.col(stamp).isNotNull() & ~F.isnan(stamp), F.col(stamp))
-    s = stretches(df.withColumn("v", v), index, 0, 64)
+    s = stretches(df.withColumn("v", v), group, index, 0, 64)
     w = Window.partitionBy(group, "stretch").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
     return s.withColumn("falls", F.coalesce(F.col("v") < F.last("v", True).over(w), F.lit(False))).where("own").drop("stretch", "own", "v")

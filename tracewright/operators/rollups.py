@@ -36,7 +36,7 @@ def step_stats(df: DataFrame, group: str, index: str, stamp: str) -> DataFrame:
     """Per group: least, largest and mean step between successive valid stamps, and span."""
     from tracewright.operators.actions import stretches
 
-    s = stretches(df.where(finite(F.col(stamp))), index, 0, 64)
+    s = stretches(df.where(finite(F.col(stamp))), group, index, 0, 64)
     w = Window.partitionBy(group, "stretch").orderBy(index, stamp)
     d = s.withColumn("dt", F.col(stamp) - F.lag(stamp).over(w)).where("own")
     return d.groupBy(group).agg(

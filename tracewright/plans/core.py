@@ -178,7 +178,7 @@ select episode_id, count(*) as n, count(*) filter (v < p) as n_falls from o grou
 )
 def monotonic_last_valid(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "robot_state_rt").select("episode_id", "record_index", "state_row_id", F.col("receipt_stamp").alias("v"))
-    w = A.stretches(r, "record_index", 0, 64)
+    w = A.stretches(r, "episode_id", "record_index", 0, 64)
     from pyspark.sql import Window
 
     past = Window.partitionBy("episode_id", "stretch").orderBy("record_index", "state_row_id").rowsBetween(Window.unboundedPreceding, -1)
