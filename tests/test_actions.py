@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewright.operators import actions as A
+from tracewright.operators import rollups
 
 
 def rows(spark, n, group="e"):
@@ -89,3 +90,22 @@ def test_terminal_only_at_the_end_over_holes(spark, monkeypatch, holes):
     out = A.measured_actions(p, "g", "i").orderBy("i").collect()
     assert [r["i"] for r in out if r["terminal"]] == [at[-1]]
     assert [r["action"][0] for r in out] == [b - a for a, b in zip(at, at[1:])] + [0.0]
+
+
+def test_nothing_is_lost_over_long_runs_of_nulls(spark):
+    n = A.STRETCH
+    stamps = {0: 3.0, 1: 5.0, n: 4.0, n + 1: 6.0, 4 * n + 7: 5.5, 4 * n + 8: 9.0}
+    nulls = [*range(n - 100, n), *range(n + 2, n + 200), 2 * n, 3 * n - 1]
+    data = [("a", i, t) for i, t in stamps.items()] + [("a", i, None) for i in nulls] + [("a", None, 8.0)]
+    df = spark.createDataFrame(data, "g string, i long, s double")
+    out = A.falls_below_last_valid(df, "g", "i", "s").collect()
+    assert len(out) == len(data)
+    assert {r["i"] for r in out if r["falls"]} == {n, 4 * n + 7, None}
+    assert {r["increasing"] for r in A.relative_time(df.where("s is not null and i <= " + str(n)), "g", "i", "s").collect()} == {False}
+
+
+def test_steps_over_gaps(spark):
+    n = A.STRETCH
+    df = spark.createDataFrame([("a", 0, 1.0), ("a", 3 * n, 4.0), ("a", 3 * n + 1, 4.5), ("a", None, 14.5)], "g string, i long, t double")
+    r = rollups.step_stats(df, "g", "i", "t").first()
+    assert (r["n"], r["min_dt"], r["max_dt"], r["mean_dt"], r["duration"]) == (4, 0.5, 10.0, 4.5, 13.5)

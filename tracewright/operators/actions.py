@@ -2,7 +2,8 @@
 
 A window over an episode sorts it in one task. Where an episode may be as long as a third
 of all rows, ``stretches`` cuts it at index multiples and hands every stretch the records
-that follow it (a halo of as many rows as the look-ahead), so any episode spreads."""
+that follow it (a halo of as many rows as the look-ahead), so any episode spreads. What
+was last known is carried over the stretches by a small table (``with_last_valid``)."""
 
 from __future__ import annotations
 
@@ -26,14 +27,28 @@ def stretch_of(index: str, length: int) -> Column:
 def stretches(df: DataFrame, group: str, index: str, ahead: int, behind: int = 0, length: int = STRETCH) -> DataFrame:
     """Adds ``stretch`` and ``own``: every row in its own stretch, and at the end of each
     stretch the ``ahead`` rows of the group that follow it, wherever they stand: gaps of any
-    width and short or empty stretches change nothing. The last ``behind`` indexes of a
-    stretch are also put at the start of the next."""
-    s = stretch_of(index, length)
-    where = F.array_compact(F.array(s, F.when(F.col(index) % length >= length - behind, s + 1)))
-    own = df.withColumn("stretch", F.explode(where)).withColumn("own", F.col("stretch") == s)
+    width and short or empty stretches change nothing. For what lies behind there is
+    ``with_last_valid``; ``behind`` must be 0."""
+    if behind:
+        raise ValueError("stretches look ahead only; use with_last_valid for what lies behind")
+    own = df.withColumn("stretch", stretch_of(index, length)).withColumn("own", F.lit(True))
     return own.unionByName(_following(df, group, index, ahead, length)) if ahead else own
 
 
+def with_last_valid(df: DataFrame, group: str, index: str, values: list[str], order: tuple[str, ...] = (), length: int = STRETCH) -> DataFrame:
+    """Adds ``last_{value}`` for each of ``values``: the last one before the row, by index
+    and then ``order`` (nulls last), that is not null. What a stretch ends with is carried
+    over its boundary by a table with one row a stretch, over any number of nulls."""
+    by = [e for c in (index, *order) for e in (F.col(c).isNull(), F.col(c))]
+    s = df.withColumn("stretch", stretch_of(index, length))
+    ends = s.groupBy(group, "stretch").agg(*(F.max_by(v, F.when(F.col(v).isNotNull(), F.struct(*by))).alias(v) for v in values))
+    past = Window.partitionBy(group).orderBy("stretch").rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(group, "stretch", *(F.last(v, True).over(past).alias(v) for v in values), F.lit(False).alias("own"))
+    w = Window.partitionBy(group, "stretch").orderBy("own", *(F.col(c).asc_nulls_last() for c in (index, *order))).rowsBetween(Window.unboundedPreceding, -1)
+    both = s.withColumn("own", F.lit(True)).unionByName(carried, allowMissingColumns=True)
+    return both.select("*", *(F.last(v, True).over(w).alias(f"last_{v}") for v in values)).where("own").drop("stretch", "own")
+
+
 def _following(df: DataFrame, group: str, index: str, ahead: int, length: int) -> DataFrame:
     """The first ``ahead`` rows after each stretch, in that ``stretch`` and not its ``own``.
     They are among the first rows of the stretches; which go where tells a table with one
@@ -113,15 +128,13 @@ def relative_time(df: DataFrame, group: str, index: str, stamp: str, fallback: s
     increases throughout, else on ``fallback`` if that does, else null; and ``increasing``.
     The verdicts are sums over stretches, so groups need not fit into a task."""
     cols = [stamp] + ([fallback] if fallback else [])
-    s = stretches(df, group, index, 0, 1)
-    w = Window.partitionBy(group, "stretch").orderBy(index)
+    s = with_last_valid(df, group, index, cols)
     for c in cols:
-        s = s.withColumn(f"bad_{c}", F.col(c).isNull() | (F.lag(c).over(w).isNotNull() & (F.col(c) <= F.lag(c).over(w))))
-    own = s.where("own")
-    g = own.groupBy(group).agg(
+        s = s.withColumn(f"bad_{c}", F.col(c).isNull() | F.coalesce(F.col(c) <= F.col(f"last_{c}"), F.lit(False)))
+    g = s.groupBy(group).agg(
         *(F.min_by(c, index).alias(f"t0_{c}") for c in cols), *((~F.bool_or(f"bad_{c}")).alias(f"ok_{c}") for c in cols)
     )
-    j = own.drop("own", "stretch", *(f"bad_{c}" for c in cols)).join(g, group)
+    j = df.join(g, group)
     rel = F.when(F.col(f"ok_{stamp}"), F.col(stamp) - F.col(f"t0_{stamp}"))
     if fallback:
         rel = rel.when(F.col(f"ok_{fallback}"), F.col(fallback) - F.col(f"t0_{fallback}"))
@@ -130,8 +143,7 @@ def relative_time(df: DataFrame, group: str, index: str, stamp: str, fallback: s
 
 def falls_below_last_valid(df: DataFrame, group: str, index: str, stamp: str) -> DataFrame:
     """Adds ``falls``: the value is lower than the last valid one before it (values that
-    are null or not finite are passed over). Halos cover runs of up to 64 invalid values."""
+    are null or not numbers are passed over, however many)."""
     v = F.when(F.col(stamp).isNotNull() & ~F.isnan(stamp), F.col(stamp))
-    s = stretches(df.withColumn("v", v), group, index, 0, 64)
-    w = Window.partitionBy(group, "stretch").orderBy(index).rowsBetween(Window.unboundedPreceding, -1)
-    return s.withColumn("falls", F.coalesce(F.col("v") < F.last("v", True).over(w), F.lit(False))).where("own").drop("stretch", "own", "v")
+    s = with_last_valid(df.withColumn("v", v), group, index, ["v"])
+    return s.withColumn("falls", F.coalesce(F.col("v") < F.col("last_v"), F.lit(False))).drop("v", "last_v")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions.geometry import at, norm
@@ -34,11 +34,10 @@ def declared_against_actual(declared: DataFrame, actual: DataFrame, key: list[st
 
 def step_stats(df: DataFrame, group: str, index: str, stamp: str) -> DataFrame:
     """Per group: least, largest and mean step between successive valid stamps, and span."""
-    from tracewright.operators.actions import stretches
+    from tracewright.operators.actions import with_last_valid
 
-    s = stretches(df.where(finite(F.col(stamp))), group, index, 0, 64)
-    w = Window.partitionBy(group, "stretch").orderBy(index, stamp)
-    d = s.withColumn("dt", F.col(stamp) - F.lag(stamp).over(w)).where("own")
+    s = with_last_valid(df.where(finite(F.col(stamp))), group, index, [stamp], (stamp,))
+    d = s.withColumn("dt", F.col(stamp) - F.col(f"last_{stamp}"))
     return d.groupBy(group).agg(
         F.count("*").alias("n"), F.min("dt").alias("min_dt"), F.max("dt").alias("max_dt"), F.avg("dt").alias("mean_dt"), (F.max(stamp) - F.min(stamp)).alias("duration")
     )

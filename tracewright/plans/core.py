@@ -178,11 +178,8 @@ select episode_id, count(*) as n, count(*) filter (v < p) as n_falls from o grou
 )
 def monotonic_last_valid(spark: SparkSession, d: str) -> DataFrame:
     r = table(spark, d, "robot_state_rt").select("episode_id", "record_index", "state_row_id", F.col("receipt_stamp").alias("v"))
-    w = A.stretches(r, "episode_id", "record_index", 0, 64)
-    from pyspark.sql import Window
-
-    past = Window.partitionBy("episode_id", "stretch").orderBy("record_index", "state_row_id").rowsBetween(Window.unboundedPreceding, -1)
-    f = w.withColumn("falls", F.coalesce(F.col("v") < F.last("v", True).over(past), F.lit(False))).where("own")
+    w = A.with_last_valid(r, "episode_id", "record_index", ["v"], ("state_row_id",))
+    f = w.withColumn("falls", F.coalesce(F.col("v") < F.col("last_v"), F.lit(False)))
     return f.groupBy("episode_id").agg(F.count("*").alias("n"), F.count(F.when(F.col("falls"), 1)).alias("n_falls"))
 
 
