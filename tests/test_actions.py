@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from tracewright.operators import actions as A
 from tracewright.operators import rollups
+from tracewright.plans import core
 
 
 def rows(spark, n, group="e"):
@@ -109,3 +110,10 @@ def test_steps_over_gaps(spark):
     df = spark.createDataFrame([("a", 0, 1.0), ("a", 3 * n, 4.0), ("a", 3 * n + 1, 4.5), ("a", None, 14.5)], "g string, i long, t double")
     r = rollups.step_stats(df, "g", "i", "t").first()
     assert (r["n"], r["min_dt"], r["max_dt"], r["mean_dt"], r["duration"]) == (4, 0.5, 10.0, 4.5, 13.5)
+
+
+def test_chunk_queries_at_the_reference_horizon(spark, sf):
+    r = core.QUERIES["action_chunk_zero_pad_50"](spark, sf)
+    assert [c for c in r.columns if c.startswith("dx_")] == [f"dx_{k}" for k in range(50)]
+    assert {x["valid"] + x["padded"] for x in r.select("valid", "padded").distinct().collect()} == {50}
+    assert {"action_chunk_repeat_last_50", "chunk_mask_stats_50"} <= set(core.ORACLES)

@@ -21,6 +21,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 HORIZON = 5
+#: The reference's action horizon, of the queries named _50.
+REFERENCE_HORIZON = 50
 STAMP_SQL = """coalesce(try_cast(source_stamp as double),
   try_cast(json_extract_string(case when source_stamp like '{%' then source_stamp end, '$.sec') as double)
   + 1e-9 * try_cast(json_extract_string(case when source_stamp like '{%' then source_stamp end, '$.nanosec') as double))"""
@@ -106,25 +108,26 @@ def _real_actions(spark: SparkSession, d: str) -> DataFrame:
     return align.first_by_index(f.select("episode_id", "frame_index", "frame_row_id", F.col("measured_action").alias("action")), ["episode_id", "frame_index"], "frame_row_id")
 
 
-def _chunk(spark: SparkSession, d: str, pad: str) -> DataFrame:
-    c = A.action_chunks(_real_actions(spark, d), "episode_id", "frame_index", HORIZON, pad)
+def _chunk(spark: SparkSession, d: str, pad: str, horizon: int = HORIZON) -> DataFrame:
+    c = A.action_chunks(_real_actions(spark, d), "episode_id", "frame_index", horizon, pad)
     return c.select(
         "episode_id", "frame_index", F.col("valid").cast("long").alias("valid"), F.col("padded").cast("long").alias("padded"),
-        *(r9(at(F.get("chunk", F.lit(k)), 0)).alias(f"dx_{k}") for k in range(HORIZON)), r9(at(F.get("chunk", F.lit(HORIZON - 1)), 5)).alias("last_rz"),
+        *(r9(at(F.get("chunk", F.lit(k)), 0)).alias(f"dx_{k}") for k in range(horizon)), r9(at(F.get("chunk", F.lit(horizon - 1)), 5)).alias("last_rz"),
     )
 
 
-_CHUNK_SQL = f"""
+def _chunks_sql(horizon: int) -> str:
+    return f"""
 a as (select episode_id, frame_index, arg_min(measured_action, frame_row_id) as v from frames
   where not coalesce(action_is_terminal_padding, false) and {vec_ok("measured_action", 7)} group by all),
-c as (select episode_id, frame_index, list(v) over (partition by episode_id order by frame_index rows between current row and {HORIZON - 1} following) as l from a)
+c as (select episode_id, frame_index, list(v) over (partition by episode_id order by frame_index rows between current row and {horizon - 1} following) as l from a)
 """
 
 
-def _chunk_sql(filler: str) -> str:
-    cols = ", ".join(f"round(case when len(l) > {k} then l[{k + 1}][1] else {filler.format(1)} end, 9) + 0.0e0 as dx_{k}" for k in range(HORIZON))
-    return f"""with {_CHUNK_SQL} select episode_id, frame_index, cast(len(l) as bigint) as valid, cast({HORIZON} - len(l) as bigint) as padded, {cols},
-  round(case when len(l) > {HORIZON - 1} then l[{HORIZON}][6] else {filler.format(6)} end, 9) + 0.0e0 as last_rz from c"""
+def _chunk_sql(filler: str, horizon: int = HORIZON) -> str:
+    cols = ", ".join(f"round(case when len(l) > {k} then l[{k + 1}][1] else {filler.format(1)} end, 9) + 0.0e0 as dx_{k}" for k in range(horizon))
+    return f"""with {_chunks_sql(horizon)} select episode_id, frame_index, cast(len(l) as bigint) as valid, cast({horizon} - len(l) as bigint) as padded, {cols},
+  round(case when len(l) > {horizon - 1} then l[{horizon}][6] else {filler.format(6)} end, 9) + 0.0e0 as last_rz from c"""
 
 
 @query(_chunk_sql("l[len(l)][{0}]"))
@@ -137,14 +140,37 @@ def action_chunk_zero_pad(spark: SparkSession, d: str) -> DataFrame:
     return _chunk(spark, d, "zero")
 
 
-@query(f"""with {_CHUNK_SQL} select episode_id, count(*) as n, cast(sum(len(l)) as bigint) as valid, cast(sum({HORIZON} - len(l)) as bigint) as padded from c group by episode_id""")
-def chunk_mask_stats(spark: SparkSession, d: str) -> DataFrame:
-    c = A.action_chunks(_real_actions(spark, d), "episode_id", "frame_index", HORIZON)
-    m = c.withColumn("mask", A.valid_mask(F.col("valid"), HORIZON))
+@query(_chunk_sql("l[len(l)][{0}]", REFERENCE_HORIZON))
+def action_chunk_repeat_last_50(spark: SparkSession, d: str) -> DataFrame:
+    return _chunk(spark, d, "repeat_last", REFERENCE_HORIZON)
+
+
+@query(_chunk_sql("0.0e0", REFERENCE_HORIZON))
+def action_chunk_zero_pad_50(spark: SparkSession, d: str) -> DataFrame:
+    return _chunk(spark, d, "zero", REFERENCE_HORIZON)
+
+
+def _mask_sql(horizon: int) -> str:
+    return f"""with {_chunks_sql(horizon)} select episode_id, count(*) as n, cast(sum(len(l)) as bigint) as valid, cast(sum({horizon} - len(l)) as bigint) as padded from c group by episode_id"""
+
+
+def _mask_stats(spark: SparkSession, d: str, horizon: int) -> DataFrame:
+    c = A.action_chunks(_real_actions(spark, d), "episode_id", "frame_index", horizon)
+    m = c.withColumn("mask", A.valid_mask(F.col("valid"), horizon))
     ones = F.size(F.filter("mask", lambda x: x))
     return m.groupBy("episode_id").agg(F.count("*").alias("n"), F.sum(ones).cast("long").alias("valid"), F.sum(F.col("padded")).cast("long").alias("padded"))
 
 
+@query(_mask_sql(HORIZON))
+def chunk_mask_stats(spark: SparkSession, d: str) -> DataFrame:
+    return _mask_stats(spark, d, HORIZON)
+
+
+@query(_mask_sql(REFERENCE_HORIZON))
+def chunk_mask_stats_50(spark: SparkSession, d: str) -> DataFrame:
+    return _mask_stats(spark, d, REFERENCE_HORIZON)
+
+
 # --- time ------------------------------------------------------------------------------
 @query(
     """with f as (select episode_id, frame_index, min_by("timestamp", frame_row_id) as t from frames where "timestamp" is not null group by all),
