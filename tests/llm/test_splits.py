@@ -72,3 +72,13 @@ def test_shares_and_togetherness(spark):
 def test_empty(spark):
     e = spark.createDataFrame([], M)
     assert splits.found(e).count() == 0 and splits.split_rows(e).count() == 0
+
+
+def test_a_differing_digit_is_no_misspelling(spark):
+    rows = [(i, f"episode_{i}", "peg_hole_m8", "hand_guiding", None) for i in range(10, 18)] + [(1, "episode_3", "peg_hole_m6", "hand_guiding", None), (2, "episode_3", "peg_hole_m8", "hand_guiding", None)]
+    assert splits.found(spark.createDataFrame(rows, M)).count() == 0
+
+
+def test_the_number_stands_after_the_marker(spark):
+    rows = [(1, "lab2_episode_7", "g", "c", None), (2, "lab2_episode_9", "g", "c", None), (3, "site 4 / ep-9 take 2", "g", "c", None), (4, "run3E7_cut1", "g", "c", None), (5, "7", "g", "c", None)]
+    assert {tuple(r) for r in splits.found(spark.createDataFrame(rows, M)).collect()} == {(1, 4), (1, 5), (2, 3)}

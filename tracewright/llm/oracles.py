@@ -1,4 +1,8 @@
-"""SQL of the language-model data queries that need more than a few lines."""
+"""SQL of the language-model data queries that need more than a few lines.
+
+Written from the statement of the problems, not from the operators: labels are compared by
+edit distance over the vocabulary, groups grow by recursive reachability, the nearest records
+come from as-of joins, shares from plain window sums."""
 
 from __future__ import annotations
 
@@ -10,20 +14,22 @@ def spelled(c: str) -> str:
     )
 
 
-FORMS = "list_concat([value], [substr(value, 1, i - 1) || substr(value, i + 1) for i in range(1, length(value) + 1)])"
+def number(c: str) -> str:
+    """The number after the episode marker, else the first one."""
+    return f"try_cast(coalesce(nullif(regexp_extract(lower({c}), '(^|[^a-z])(episode|ep|e)[^a-z0-9]*([0-9]+)', 3), ''), regexp_extract({c}, '[0-9]+')) as bigint)"
 
 
 def fixes(column: str, name: str) -> str:
-    """Misspelled labels and the frequent ones one edit away."""
+    """Misspelled labels: one letter, or a swap of two, from a label four times as frequent."""
     return f"""{name}_n as (select {column} as value, count(*) as n from k0 where {column} is not null group by 1),
-{name}_f as (select value, n, unnest(list_distinct({FORMS})) as form from {name}_n),
-{name}_x as (select a.value, max_by(b.value, (b.n, b.value)) as fixed from {name}_f a join {name}_f b on a.form = b.form
-  where b.n >= 4 * a.n and levenshtein(a.value, b.value) <= 2 and length(a.value) >= 6 group by 1)"""
+{name}_x as (select a.value, max_by(b.value, (b.n, b.value)) as fixed from {name}_n a, {name}_n b
+  where b.n >= 4 * a.n and damerau_levenshtein(a.value, b.value) = 1 and length(a.value) >= 6
+    and regexp_replace(a.value, '[^0-9]', '', 'g') = regexp_replace(b.value, '[^0-9]', '', 'g') group by 1)"""
 
 
-P2_FOUND = f"""
-with recursive k0 as (select meta_row_id, try_cast(regexp_extract(episode_id, '([0-9]+)', 1) as bigint) as number, {spelled("geometry_type")} as g0, {spelled("collection_method")} as c0,
-  try_cast(regexp_extract(list_last(string_split(regexp_replace(trim(source_staged_export), '/+$', ''), '/')), '([0-9]+)', 1) as bigint) as exported from metadata),
+_GROUPS = f"""
+k0 as (select meta_row_id, {number("episode_id")} as number, {spelled("geometry_type")} as g0, {spelled("collection_method")} as c0,
+  {number("list_last(string_split(regexp_replace(trim(source_staged_export), '/+$', ''), '/'))")} as exported from metadata),
 {fixes("g0", "g")},
 {fixes("c0", "c")},
 k as (select meta_row_id, number, coalesce(g_x.fixed, g0) as geometry, coalesce(c_x.fixed, c0) as collection, exported from k0 left join g_x on g0 = g_x.value left join c_x on c0 = c_x.value),
@@ -32,5 +38,31 @@ e as (select distinct v.vertex as a, w.vertex as b from k join v using (number,
 b as (select a, b from e union select b, a from e),
 reach as (select vertex as a, vertex as r from v union select reach.a, b.b from reach join b on reach.r = b.a),
 grp as (select a as vertex, min(r) as group_id from reach group by a)
+"""
+
+P2_FOUND = f"""
+with recursive {_GROUPS}
 select group_id as first_row_id, meta_row_id from k join v using (number, geometry, collection) join grp using (vertex) where group_id <> meta_row_id
 """
+
+# groups beyond a hundredth of all rows go first, largest first, to the split that lacks most;
+# the others by cumulative weight in the order of a hash
+P2_SPLITS = f"""
+with recursive {_GROUPS},
+every as (select meta_row_id, coalesce(group_id, meta_row_id) as group_id from k left join v using (number, geometry, collection) left join grp using (vertex)),
+w as (select group_id, count(*) as weight from every group by 1),
+n as (select count(*) as total from every),
+big as (select group_id, weight, row_number() over (order by weight desc, group_id) as i from w, n where weight > 0.01e0 * total),
+walk as (
+  select cast(0 as bigint) as i, 0.8e0 * total as a, 0.1e0 * total as b, 0.1e0 * total as c, cast(null as bigint) as group_id, cast(null as varchar) as split from n
+  union all
+  select big.i, a - case when a >= b and a >= c then weight else 0 end, b - case when b > a and b >= c then weight else 0 end, c - case when c > a and c > b then weight else 0 end,
+    big.group_id, case when a >= b and a >= c then 'train' when b >= c then 'validation' else 'test' end
+  from walk join big on big.i = walk.i + 1),
+room as (select greatest(a, 0) as a, greatest(b, 0) as b, greatest(c, 0) as c from walk order by i desc limit 1),
+rest as (select group_id, weight, sum(weight) over (order by md5(cast(group_id as varchar)), group_id) - weight / 2.0e0 as mid, sum(weight) over () as all_rest
+  from w, n where weight <= 0.01e0 * total),
+small as (select group_id, case when mid / all_rest < a / (a + b + c) then 'train' when mid / all_rest < a / (a + b + c) + b / (a + b + c) then 'validation' else 'test' end as split from rest, room),
+given as (select group_id, split from small union all select group_id, split from walk where group_id is not null)
+select meta_row_id, group_id, split from every join given using (group_id)
+"""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewright.llm import leaks, mixing, nearest, pii, splits
-from tracewright.llm.oracles import P2_FOUND
+from tracewright.llm.oracles import P2_FOUND, P2_SPLITS
 from tracewright.session import table
 
 
@@ -71,4 +71,4 @@ QUERIES = {
     "p10_found": p10_found,
     "p10_redacted": p10_redacted,
 }
-ORACLES: dict[str, str] = {"p2_found": P2_FOUND, "p6_found": P6_SQL}
+ORACLES: dict[str, str] = {"p2_found": P2_FOUND, "p2_splits": P2_SPLITS, "p6_found": P6_SQL}

@@ -18,13 +18,12 @@ make no edge; an empty table gives empty results; extra columns are unread.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tracewright.session import Staged, broadcast_if_small, stage
 
 BIG = 0.01
-BUCKETS = 1024
 #: A value this much rarer than one that is a single edit away is a misspelling of it.
 TYPO_RATIO = 4
 #: Shorter labels are never taken for misspellings.
@@ -32,8 +31,11 @@ TYPO_LENGTH = 6
 
 
 def episode_number(c: Column) -> Column:
-    """The first whole number of an episode id; marks of retakes, cuts and copies follow it."""
-    return F.regexp_extract(c, r"([0-9]+)", 1).try_cast("decimal(38,0)").try_cast("bigint")
+    """The number right after the episode marker (episode, ep, e); marks of retakes, cuts and
+    copies follow it, other numbers may stand before it. Without a marker the first number."""
+    marked = F.regexp_extract(F.lower(c), r"(?:^|[^a-z])(?:episode|ep|e)[^a-z0-9]*([0-9]+)", 1)
+    text = F.coalesce(F.nullif(marked, F.lit("")), F.regexp_extract(c, r"([0-9]+)", 1))
+    return text.try_cast("decimal(38,0)").try_cast("bigint")
 
 
 def last_step(path: Column) -> Column:
@@ -46,21 +48,26 @@ def spelled(c: Column) -> Column:
     return F.nullif(F.regexp_replace(F.regexp_replace(F.lower(s), r"[^a-z0-9]+", "_"), r"^_+|_+$", ""), F.lit(""))
 
 
+def _digits(c: str) -> Column:
+    return F.regexp_replace(c, r"[^0-9]", "")
+
+
 def correct_values(values: DataFrame) -> DataFrame:
-    """(value, right): misspelled labels and the frequent label one edit away (a letter
-    left out, put in, changed, or two swapped). Two labels are one edit apart only if they
-    share a form with at most one letter deleted, so the candidates come by an equi-join."""
-    n = stage(values.groupBy("value").count(), "labels")
+    """(field, value, right) from (field, value): misspelled labels and the frequent label one
+    edit away (a letter left out, put in, changed, or two swapped). A differing digit is no
+    misspelling: it names another thing. Two labels are one edit apart only if they share a
+    form with at most one letter deleted, so the candidates come by an equi-join."""
+    n = stage(values.groupBy("field", "value").count(), "labels")
     at = F.sequence(F.lit(1), F.length("value"))
     forms = n.select(
-        "value", "count", F.explode(F.array_distinct(F.concat(F.array("value"), F.transform(at, lambda i: F.concat(F.substr("value", F.lit(1), i - 1), F.substr("value", i + 1)))))).alias("form")
+        "field", "value", "count", F.explode(F.array_distinct(F.concat(F.array("value"), F.transform(at, lambda i: F.concat(F.substr("value", F.lit(1), i - 1), F.substr("value", i + 1)))))).alias("form")
     )
-    a = forms.select(F.col("value"), F.col("count").alias("n"), "form")
-    b = forms.select(F.col("value").alias("right"), F.col("count").alias("m"), "form")
+    a = forms.select("field", "value", F.col("count").alias("n"), "form")
+    b = forms.select("field", F.col("value").alias("right"), F.col("count").alias("m"), "form")
     return (
-        a.join(b, "form")
-        .where((F.col("m") >= TYPO_RATIO * F.col("n")) & (F.levenshtein("value", "right") <= 2) & (F.length("value") >= TYPO_LENGTH))
-        .groupBy("value")
+        a.join(b, ["field", "form"])
+        .where((F.col("m") >= TYPO_RATIO * F.col("n")) & (F.levenshtein("value", "right") <= 2) & (F.length("value") >= TYPO_LENGTH) & (_digits("value") == _digits("right")))
+        .groupBy("field", "value")
         .agg(F.max_by("right", F.struct("m", "right")).alias("right"))
     )
 
@@ -75,9 +82,12 @@ def keyed(metadata: DataFrame) -> DataFrame:
         episode_number(last_step(F.col("source_staged_export"))).alias("exported"),
     )
     m = stage(m, "keys")
-    for c in ("geometry", "collection"):
-        fix = stage(correct_values(m.where(F.col(c).isNotNull()).select(F.col(c).alias("value"))), "fixes")
-        m = m.join(broadcast_if_small(fix, 128), F.col(c) == F.col("value"), "left").withColumn(c, F.coalesce("right", c)).drop("value", "right")
+    fields = ("geometry", "collection")
+    both = F.array(*(F.struct(F.lit(c).alias("field"), F.col(c).alias("value")) for c in fields))
+    fix = stage(correct_values(m.select(F.explode(both).alias("x")).select("x.*").where("value is not null")), "fixes")
+    small = broadcast_if_small(fix, 128)
+    for c in fields:
+        m = m.join(small.where(F.col("field") == c).select("value", "right"), F.col(c) == F.col("value"), "left").withColumn(c, F.coalesce("right", c)).drop("value", "right")
     return m
 
 
@@ -86,35 +96,38 @@ def coin(vertex: Column, turn: int) -> Column:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(vertex, label) of every vertex that has an edge, from edges (u, v)."""
-    e = Staged(edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "edges")
-    collapses: list[DataFrame] = []
-    turn = 0
-    while not e.df.isEmpty():
-        both = e.df.unionByName(e.df.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        into = stage(both.where(coin(F.col("u"), turn) & ~coin(F.col("v"), turn)).groupBy("u").agg(F.min("v").alias("to")), "collapse")
-        collapses.append(into)
-        a = into.select(F.col("u"), F.col("to").alias("tu"))
-        b = into.select(F.col("u").alias("v"), F.col("to").alias("tv"))
+    """(vertex, label) of every vertex that has an edge, from edges (u, v). Every round is one
+    written table with both its collapses and the edges left; how many are left is counted as
+    they are written."""
+    flat = lambda e: e.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+    def write(rows: DataFrame, n: int) -> tuple[Staged, int]:
+        seen = Observation(f"round-{n}")
+        s = Staged(rows.observe(seen, F.count(F.when(~F.col("collapse"), 1)).alias("open")), "round")
+        return s, seen.get["open"]
+
+    first, open_edges = write(flat(edges).withColumn("collapse", F.lit(False)), 0)
+    rounds = [first]
+    while open_edges:
+        turn = len(rounds)
+        e = rounds[-1].df.where("not collapse").drop("collapse")
+        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        into = both.where(coin(F.col("u"), turn) & ~coin(F.col("v"), turn)).groupBy("u").agg(F.min("v").alias("v"))
         moved = (
-            e.df.join(a, "u", "left")
-            .join(b, "v", "left")
+            e.join(into.select("u", F.col("v").alias("tu")), "u", "left")
+            .join(into.select(F.col("u").alias("v"), F.col("v").alias("tv")), "v", "left")
             .select(F.coalesce("tu", "u").alias("u"), F.coalesce("tv", "v").alias("v"))
-            .where("u <> v")
-            .select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-            .distinct()
         )
-        nxt = Staged(moved, "edges")
-        e.drop()
-        e = nxt
-        turn += 1
-    if not collapses:
-        return e.df.select(F.col("u").alias("vertex"), F.col("v").alias("label"))
-    forest = collapses[0]
-    for c in collapses[1:]:
-        forest = forest.unionByName(c)
+        nxt, open_edges = write(into.withColumn("collapse", F.lit(True)).unionByName(flat(moved).withColumn("collapse", F.lit(False))), turn)
+        rounds.append(nxt)
+    if len(rounds) == 1:
+        return first.df.select(F.col("u").alias("vertex"), F.col("v").alias("label"))
+    forest = edges.sparkSession.read.schema(first.df.schema).parquet(*(r.path for r in rounds)).where("collapse").select("u", F.col("v").alias("to"))
     up = Staged(forest, "forest")
-    for _ in range(max(1, (turn - 1).bit_length() + 1)):
+    for r in rounds:
+        r.drop()
+    # a collapse of one round may go on in every later one: that many steps at most
+    for _ in range(max(0, (len(rounds) - 2).bit_length())):
         higher = up.df.select(F.col("u").alias("to"), F.col("to").alias("top"))
         nxt = Staged(up.df.join(higher, "to", "left").select("u", F.coalesce("top", "to").alias("to")), "forest")
         up.drop()
@@ -156,7 +169,8 @@ def assign(groups: DataFrame, proportions: dict[str, float]) -> DataFrame:
         given[r["group_id"]] = s
         room[s] -= r["weight"]
     left = sum(max(0.0, x) for x in room.values())
-    rest = groups.where(F.col("weight") <= BIG * total).withColumn("h", F.xxhash64(F.lit("split"), "group_id")).withColumn("bucket", F.pmod("h", F.lit(BUCKETS)))
+    # 4096 ranges of the hash, so that no task sorts them all
+    rest = groups.where(F.col("weight") <= BIG * total).withColumn("h", F.md5(F.col("group_id").cast("string"))).withColumn("bucket", F.substr("h", F.lit(1), F.lit(3)))
     sums = rest.groupBy("bucket").agg(F.sum("weight").alias("w")).withColumn("offset", F.coalesce(F.sum("w").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     w = Window.partitionBy("bucket").orderBy("h", "group_id")
     at = (F.col("offset") + F.sum("weight").over(w) - F.col("weight") / 2) / F.lit(float(max(1, total - sum(r["weight"] for r in big))))
