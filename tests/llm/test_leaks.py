@@ -76,15 +76,60 @@ def test_stock_wording_is_no_leak(spark):
     assert run(spark, [(1, " ".join(stock))], items) == []
 
 
-def test_blocks_of_items_change_nothing(spark, monkeypatch):
+def test_stock_wording_without_own_seeds(spark):
+    """Every seed of a passage is shared by some item, but no other item holds all of it."""
+    r = random.Random(7)
+    a = words(r, 16)
+    items = [(1, " ".join(words(r, 9) + a + words(r, 9))), (2, " ".join(words(r, 9) + a[:9] + words(r, 9))), (3, " ".join(words(r, 9) + a[5:14] + words(r, 9))), (4, " ".join(words(r, 9) + a[9:] + words(r, 9)))]
+    assert run(spark, [(1, " ".join(words(r, 5) + a[:14] + words(r, 5)))], items) == [(1, 1)]
+
+
+def test_reordered_item(spark):
+    """Cut into three and reordered: no twelve successive words are left, the tiles cover it."""
+    r = random.Random(8)
+    a = words(r, 24)
+    moved = a[16:] + words(r, 3) + a[8:16] + words(r, 3) + a[:8]
+    docs = [(1, " ".join(moved)), (2, " ".join(a[16:] + words(r, 30))), (3, " ".join(a[:6] + words(r, 9) + a[12:17]))]
+    assert run(spark, docs, [(1, " ".join(a)), (2, " ".join(words(r, 24)))]) == [(1, 1)]
+    got = leaks.leaks(spark.createDataFrame(docs, D), spark.createDataFrame([(1, " ".join(a))], E)).first()
+    assert (got["passage_words"], got["coverage"]) == (0, 1.0)
+
+
+def test_seeds_join_by_shuffle_too(spark, monkeypatch):
+    """Beyond the size a broadcast may have, the joins shuffle: the same result."""
     r = random.Random(3)
     items = [(i, " ".join(words(r, 40))) for i in range(12)]
     docs = [(i, items[i][1]) for i in range(12)]
     whole = run(spark, docs, items)
-    monkeypatch.setattr(leaks, "BLOCK_SEEDS", 100)
+    monkeypatch.setattr(leaks, "broadcast_if_small", lambda df, row_bytes: df)
     assert run(spark, docs, items) == whole == [(i, i) for i in range(12)]
 
 
+def test_against_brute_force(spark):
+    """All windows of all items against all places of all documents, on a small vocabulary."""
+    r = random.Random(5)
+    items = [words(r, 30, 60) for _ in range(5)]
+    docs = []
+    for i in range(40):
+        it = r.choice(items)
+        s, n = r.randrange(0, 16), r.randrange(9, 15)
+        part = [w if r.random() > 0.08 else "zz" for w in it[s : s + n]]
+        docs.append(words(r, 10, 60) + part + words(r, 10, 60))
+
+    def holds(d, a):
+        for p in range(len(a)):
+            for q in range(len(d)):
+                miss = 0
+                for n in range(1, min(len(a) - p, len(d) - q) + 1):
+                    miss += a[p + n - 1] != d[q + n - 1]
+                    if n >= leaks.MIN_WORDS and a[p] == d[q] and a[p + n - 1] == d[q + n - 1] and miss * leaks.REPLACED <= n:
+                        return True
+        return False
+
+    want = sorted((i, j) for i, d in enumerate(docs) for j, a in enumerate(items) if holds(d, a))
+    assert want and run(spark, [(i, " ".join(d)) for i, d in enumerate(docs)], [(j, " ".join(a)) for j, a in enumerate(items)]) == want
+
+
 def test_empty(spark):
     assert run(spark, [], []) == [] and run(spark, [(1, "a b")], []) == [] and run(spark, [], [(1, "a b")]) == []
 
