@@ -5,7 +5,8 @@ times, just gives its share (or the total asked for, if that is smaller). A sour
 to give r times its tokens gives floor(r) whole copies of every document; the fraction left
 is an unequal-probability sample: inclusion probabilities grow with the document's tokens
 (capped at 1, so these are certain), documents are ranked by random odds divided by
-inclusion odds, and the first n are taken, n being where their tokens meet the target best.
+inclusion odds, and the first n are taken; n is fixed beforehand, the rounded sum of the
+inclusion probabilities, so the sample's tokens are the target's in expectation.
 
 No source is sorted in one task: ranks fall into BINS bins, the bins' sums tell the bin in
 which the cut lies, and only that bin is sorted. Token counts for the probabilities go to
@@ -113,20 +114,21 @@ def mix(documents: DataFrame, mix_targets: DataFrame, seed: int = 0, total_token
     lam = F.least(F.lit(1.0), F.col("c") * F.col("tokens"))
     # odds of u over odds of lam, folded into (0, 1); certain documents come first
     rank = F.when(lam >= 1.0, 0.0).when(lam <= 0.0, 1.0).otherwise(u * (1 - lam) / (u * (1 - lam) + lam * (1 - u)))
-    d = sizes.join(F.broadcast(table), "source").withColumn("rank", rank).withColumn("bin", F.least(F.lit(BINS - 1), F.floor(F.col("rank") * BINS)).cast("int"))
+    d = sizes.join(F.broadcast(table), "source").withColumn("lam", lam).withColumn("rank", rank).withColumn("bin", F.least(F.lit(BINS - 1), F.floor(F.col("rank") * BINS)).cast("int"))
     d = stage(d, "ranked")
     open_ = d.where((F.col("rest") > 0) & (F.col("tokens") > 0))
+    # the size of the sample: the sum of the inclusion probabilities, one row a source
+    size = open_.groupBy("source").agg(F.round(F.sum("lam")).cast("long").alias("size"))
     w = Window.partitionBy("source").orderBy("bin")
-    bins = open_.groupBy("source", "rest", "bin").agg(F.sum("tokens").alias("t")).withColumn("before", F.sum("t").over(w) - F.col("t"))
-    cut = bins.where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("t") >= F.col("rest"))).select("source", F.col("bin").alias("cut"), "before")
+    bins = open_.groupBy("source", "bin").agg(F.count("*").alias("n")).withColumn("before", F.sum("n").over(w) - F.col("n")).join(F.broadcast(size), "source")
+    cut = bins.where((F.col("before") < F.col("size")) & (F.col("before") + F.col("n") >= F.col("size"))).select("source", F.col("bin").alias("cut"), "before", "size")
     j = open_.join(F.broadcast(cut), "source", "left")
-    sure = j.where(F.col("cut").isNull() | (F.col("bin") < F.col("cut"))).select("source", "doc_id", "tokens", "base", F.lit(1).alias("extra"))
+    sure = j.where(F.col("bin") < F.col("cut")).select("source", "doc_id", "tokens", "base", F.lit(1).alias("extra"))
     inner = Window.partitionBy("source").orderBy("rank", "doc_id")
-    upto = F.col("before") + F.sum("tokens").over(inner)
-    edge = j.where(F.col("bin") == F.col("cut")).withColumn("upto", upto)
-    near = F.abs(F.col("upto") - F.col("rest")) <= F.abs(F.col("upto") - F.col("tokens") - F.col("rest"))
-    edge = edge.select("source", "doc_id", "tokens", "base", ((F.col("upto") <= F.col("rest")) | near).cast("int").alias("extra"))
-    later = j.where(F.col("bin") > F.col("cut")).select("source", "doc_id", "tokens", "base", F.lit(0).alias("extra"))
+    edge = j.where(F.col("bin") == F.col("cut")).withColumn("at", F.col("before") + F.row_number().over(inner))
+    edge = edge.select("source", "doc_id", "tokens", "base", (F.col("at") <= F.col("size")).cast("int").alias("extra"))
+    # a source whose sample has size 0 has no cut: none of it is taken once more
+    later = j.where(F.col("cut").isNull() | (F.col("bin") > F.col("cut"))).select("source", "doc_id", "tokens", "base", F.lit(0).alias("extra"))
     closed = d.where((F.col("rest") <= 0) | (F.col("tokens") <= 0)).select("source", "doc_id", "tokens", "base", F.lit(0).alias("extra"))
     every = sure.unionByName(edge).unionByName(later).unionByName(closed)
     return every.select("doc_id", "source", "tokens", (F.col("base") + F.col("extra")).cast("long").alias("copies")).where("copies > 0")
