@@ -1,9 +1,10 @@
 """Pairing records with the nearest record in time of the same entity, by expanding rings.
 
-Stamps of both sides fall into buckets of the entity's own width. In a round a left stamp
-meets the right stamps of its bucket and the two beside it; whatever lies within one width
-of it is among these, so a match no further than that is provably the nearest and is
-accepted. Stamps without one go on to buckets of twice the width, up to the tolerance.
+Stamps of both sides fall into buckets of the entity's own width, four rings wide. In a
+round a right stamp stands in its bucket and, if it is within a ring of the border, in the
+adjacent one too; whatever lies within a ring of a left stamp meets it, so a match no
+further than that is provably the nearest and is accepted. Stamps without one go on to
+rings and buckets of twice the width, up to the tolerance.
 The first width is a fraction of the tolerance, so few pairs are formed, and equal stamps
 are collapsed first on both sides, so a hot stamp costs one row.
 
@@ -42,13 +43,13 @@ def ring_join(left: DataFrame, right: DataFrame, first: float = FIRST) -> DataFr
     width = first
     while True:
         last = width >= 1.0
-        # a hair wider or narrower, so that rounding in the bucket number can do no harm
+        # a hair wider, so that rounding in the bucket number can do no harm
         w = F.col("tol") * (width * (1 + 1e-6))
-        a = todo.select("entity", "t", "tol", F.floor(F.col("t") / w).cast("long").alias("bucket"))
-        at = F.floor(F.col("t") / w).cast("long")
-        b = points.select(
-            "entity", F.col("t").alias("rt"), "id", F.explode(F.array(at - 1, at, at + 1)).alias("bucket")
-        )
+        at = lambda x: F.floor(x / (w * 4)).cast("long")
+        a = todo.select("entity", "t", "tol", at(F.col("t")).alias("bucket"))
+        # whatever lies within a width of a right stamp is in its bucket or the adjacent one
+        near = F.array_distinct(F.array(at(F.col("t") - w), at(F.col("t") + w)))
+        b = points.select("entity", F.col("t").alias("rt"), "id", F.explode(near).alias("bucket"))
         d = F.abs(F.col("t") - F.col("rt"))
         pairs = a.join(b, ["entity", "bucket"], "left")
         reach = F.col("tol") if last else F.col("tol") * width

@@ -66,3 +66,21 @@ small as (select group_id, case when mid / all_rest < a / (a + b + c) then 'trai
 given as (select group_id, split from small union all select group_id, split from walk where group_id is not null)
 select meta_row_id, group_id, split from every join given using (group_id)
 """
+
+_WORDS = "list_filter(regexp_split_to_array(lower(regexp_replace({0}, '</?[a-zA-Z][a-zA-Z0-9]*(?:\\s[^<>]*)?/?>', ' ', 'g')), '[^\\p{{L}}\\p{{N}}]+'), lambda x: length(x) > 0)"
+
+# every diagonal of document and item on which a run of five words of its own agrees, and on it
+# every stretch that begins and ends alike, of twelve words or more and one in eight differing
+P8_FOUND = f"""
+with d as (select row_number() over () as r, doc_id, {_WORDS.format("text")} as w from documents where length(text) > 0),
+i as (select item_id, {_WORDS.format("item_text")} as w from eval_items where item_text is not null),
+ds as (select r, q, array_to_string(w[q:q + 4], ' ') as s from (select r, w, unnest(range(1, len(w) - 3)) as q from d where len(w) >= 5)),
+its as (select item_id, text, p, array_to_string(w[p:p + 4], ' ') as s from (select item_id, array_to_string(w, ' ') as text, w, unnest(range(1, len(w) - 3)) as p from i where len(w) >= 12)),
+own as (select s from its group by s having count(distinct text) = 1),
+diag as (select distinct r, item_id, q - p as g from ds join its using (s) where s in (select s from own)),
+cells as (select r, item_id, g, unnest(range(1, len(i.w) + 1)) as p, i.w as a, d.w as b from diag join i using (item_id) join d using (r)),
+same as (select r, item_id, g, p, coalesce(a[p] = b[p + g], false) as ok from cells where p + g between 1 and len(b)),
+run as (select *, sum(case when ok then 0 else 1 end) over (partition by r, item_id, g order by p) as miss from same),
+hit as (select distinct x.r, x.item_id from run x join run y on x.r = y.r and x.item_id = y.item_id and x.g = y.g and y.p >= x.p + 11 where x.ok and y.ok and (y.miss - x.miss) * 8 <= y.p - x.p + 1)
+select doc_id, item_id from hit join d using (r)
+"""

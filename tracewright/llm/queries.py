@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewright.llm import leaks, mixing, nearest, pii, splits
-from tracewright.llm.oracles import P2_FOUND, P2_SPLITS
+from tracewright.llm.oracles import P2_FOUND, P2_SPLITS, P8_FOUND
 from tracewright.session import table
 
 
@@ -25,6 +25,10 @@ def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return leaks.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
 
 
+def p8_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(table(spark, d, "documents"), table(spark, d, "mix_targets"))
 
@@ -66,9 +70,10 @@ QUERIES = {
     "p2_splits": p2_splits,
     "p6_found": p6_found,
     "p8_found": p8_found,
+    "p8_coverage": p8_coverage,
     "p9_mix": p9_mix,
     "p9_shares": p9_shares,
     "p10_found": p10_found,
     "p10_redacted": p10_redacted,
 }
-ORACLES: dict[str, str] = {"p2_found": P2_FOUND, "p2_splits": P2_SPLITS, "p6_found": P6_SQL}
+ORACLES: dict[str, str] = {"p2_found": P2_FOUND, "p2_splits": P2_SPLITS, "p6_found": P6_SQL, "p8_found": P8_FOUND}
