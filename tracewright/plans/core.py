@@ -14,7 +14,7 @@ from tracewright.functions.geometry import at, norm
 from tracewright.functions.stamps import episode_fps, finite, finite_vector, stamp_seconds
 from tracewright.functions.vectors import WRENCH_ORDER, first_valid, max_abs, profile_slice
 from tracewright.operators import actions as A
-from tracewright.operators import align, cameras, dataset, rollups, rules
+from tracewright.operators import align, cameras, convert, dataset, rollups, rules
 from tracewright.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,35 +56,55 @@ def vec_ok(c: str, n: int) -> str:
 
 # --- actions ---------------------------------------------------------------------------
 def poses(spark: SparkSession, d: str) -> DataFrame:
-    """Robot poses per record in m and rad, the first row of each record index."""
-    r = table(spark, d, "robot_state_rt")
-    ok = r.where(finite_vector(F.col("actual_tcp_position"), 6) & F.col("record_index").isNotNull())
-    one = align.first_by_index(ok.select("episode_id", "record_index", "state_row_id", "actual_tcp_position"), ["episode_id", "record_index"], "state_row_id")
-    v = F.col("actual_tcp_position")
-    return one.select(
-        "episode_id", "record_index", F.transform(F.slice(v, 1, 3), lambda x: x / F.lit(1000.0)).alias("position"),
-        F.transform(F.slice(v, 4, 3), lambda x: F.radians(x)).alias("rotation"), F.lit(None).cast("double").alias("gripper"),
-    )
+    """Robot poses in m and rad by the units that record or entry state (mm and degrees where
+    neither does), with the gripper's value; poses that cannot be converted are left out."""
+    p = convert.poses(table(spark, d, "robot_state_rt"), table(spark, d, "streams_index"), convert.SYNTHETIC_UNITS).where("error is null")
+    key = ["episode_id", "record_index"]
+    g = table(spark, d, "gripper_state").select(*key, "gripper_row_id", convert.gripper_value(F.col("gripper_position"), F.col("gripper_width_m")).alias("gripper"), F.lit(True).alias("held"))
+    j = p.join(align.first_by_index(g, key, "gripper_row_id"), key, "left")
+    return j.select(*key, "position", "rotation", F.when(F.col("held"), F.col("gripper")).otherwise(0.0).alias("gripper"))
+
+
+def _unit_sql(record: str, entry: str, keys: tuple[str, ...], default: str) -> str:
+    """The record's label for a key, then its entry's, key by key."""
+    one = "case when ltrim({0}) like '{{%' then nullif(replace(lower(trim(json_extract_string({0}, '$.{1}'))), ' ', '_'), '') end"
+    return "coalesce(" + ", ".join(one.format(u, k) for k in keys for u in (record, entry)) + f", '{default}')"
+
+
+def _entry_sql(stream: str) -> str:
+    return f"(select episode_id, arg_min(units, entry_id) as e from streams_index where stream_name = '{stream}' and ltrim(units) like '{{%' group by 1)"
+
 
+def _in(labels: list[str]) -> str:
+    return "(" + ", ".join(f"'{x}'" for x in labels) + ")"
 
+
+_GRIP_SQL = f"""(select episode_id, record_index, arg_min({{'p': gripper_position, 'w': gripper_width_m}}, gripper_row_id) as s from gripper_state where record_index is not null group by all)"""
+_GRIP_VALUE = f"case when g.s is null then 0.0e0 when {fin('g.s.p')} then g.s.p when {fin('g.s.w')} then g.s.w end"
+_POSED_SQL = f"""
+one as (select episode_id, record_index, arg_min({{'v': actual_tcp_position, 'u': units}}, state_row_id) as s from robot_state_rt where record_index is not null group by all),
+lab as (select one.episode_id, record_index, s.v as v, {_unit_sql("s.u", "e", ("tcp_position",), "mm")} as pu, {_unit_sql("s.u", "e", ("tcp_orientation",), "deg")} as au
+  from one left join {_entry_sql("robot_state_rt")} using (episode_id)),
+posed as (select episode_id, record_index, {", ".join(f"case when pu in {_in(convert.MILLIMETRES)} then v[{i}] / 1000.0e0 else v[{i}] end as {n}" for i, n in ((1, "x"), (2, "y"), (3, "z")))},
+  {", ".join(f"case when au in {_in(convert.DEGREES)} then radians(v[{i}]) else v[{i}] end as {n}" for i, n in ((4, "a"), (5, "b"), (6, "c")))}
+  from lab where {vec_ok("v", 6)} and pu in {_in(convert.MILLIMETRES + convert.METRES)} and au in {_in(convert.DEGREES + convert.RADIANS)})
+"""
 _POSE_SQL = f"""
-one as (select episode_id, record_index, arg_min(actual_tcp_position, state_row_id) as v from robot_state_rt
-  where {vec_ok("actual_tcp_position", 6)} and record_index is not null group by all),
-pose as (select episode_id, record_index, v[1]/1000.0e0 as x, v[2]/1000.0e0 as y, v[3]/1000.0e0 as z,
-  radians(v[4]) as a, radians(v[5]) as b, radians(v[6]) as c from one),
+{_POSED_SQL},
+pose as (select p.*, {_GRIP_VALUE} as grip from posed p left join {_GRIP_SQL} g on p.episode_id = g.episode_id and p.record_index = g.record_index),
 ang as (select *, sqrt(a*a+b*b+c*c) as th from pose),
 fac as (select *, case when th < 1e-12 then 0.5e0 else sin(th/2)/th end as f, case when th < 1e-12 then 1.0e0 else cos(th/2) end as qw from ang),
-raw_q as (select episode_id, record_index, x, y, z, a*f as rx, b*f as ry, c*f as rz, qw as rw from fac),
-q as (select episode_id, record_index, x, y, z, rx/n as qx, ry/n as qy, rz/n as qz, rw/n as qw from
+raw_q as (select episode_id, record_index, grip, x, y, z, a*f as rx, b*f as ry, c*f as rz, qw as rw from fac),
+q as (select episode_id, record_index, grip, x, y, z, rx/n as qx, ry/n as qy, rz/n as qz, rw/n as qw from
   (select *, sqrt(rx*rx+ry*ry+rz*rz+rw*rw) as n from raw_q)),
 nx as (select *, lead(record_index) over w as nk, lead(x) over w as x1, lead(y) over w as y1, lead(z) over w as z1,
-  lead(qx) over w as ax, lead(qy) over w as ay, lead(qz) over w as az, lead(qw) over w as aw from q
+  lead(qx) over w as ax, lead(qy) over w as ay, lead(qz) over w as az, lead(qw) over w as aw, coalesce(lead(grip) over w - grip, 0.0e0) as d_grip from q
   window w as (partition by episode_id order by record_index)),
-rel as (select episode_id, record_index, nk, x1-x as dx, y1-y as dy, z1-z as dz,
+rel as (select episode_id, record_index, d_grip, nk, x1-x as dx, y1-y as dy, z1-z as dz,
   qw*ax - qx*aw - qy*az + qz*ay as px, qw*ay + qx*az - qy*aw - qz*ax as py,
   qw*az - qx*ay + qy*ax - qz*aw as pz, qw*aw + qx*ax + qy*ay + qz*az as pw from nx),
 sgn as (select *, case when pw < 0 then -1.0e0 else 1.0e0 end as s, sqrt(px*px+py*py+pz*pz) as pn from rel),
-act as (select episode_id, record_index, nk is null as terminal, dx, dy, dz,
+act as (select episode_id, record_index, d_grip, nk is null as terminal, dx, dy, dz,
   case when pn < 1e-12 then 2.0e0 else 2*atan2(pn, pw*s)/pn end * s as g, px, py, pz from sgn)
 """
 
@@ -94,12 +114,13 @@ act as (select episode_id, record_index, nk is null as terminal, dx, dy, dz,
 select episode_id, record_index, terminal,
   round(case when terminal then 0.0e0 else dx end, 6) + 0.0e0 as dx, round(case when terminal then 0.0e0 else dy end, 6) + 0.0e0 as dy,
   round(case when terminal then 0.0e0 else dz end, 6) + 0.0e0 as dz, round(case when terminal then 0.0e0 else px*g end, 6) + 0.0e0 as d_rx,
-  round(case when terminal then 0.0e0 else py*g end, 6) + 0.0e0 as d_ry, round(case when terminal then 0.0e0 else pz*g end, 6) + 0.0e0 as d_rz
+  round(case when terminal then 0.0e0 else py*g end, 6) + 0.0e0 as d_ry, round(case when terminal then 0.0e0 else pz*g end, 6) + 0.0e0 as d_rz,
+  round(case when terminal then 0.0e0 else d_grip end, 6) + 0.0e0 as d_gripper
 from act"""
 )
 def measured_delta_action(spark: SparkSession, d: str) -> DataFrame:
     a = A.measured_actions(poses(spark, d), "episode_id", "record_index")
-    names = ["dx", "dy", "dz", "d_rx", "d_ry", "d_rz"]
+    names = ["dx", "dy", "dz", "d_rx", "d_ry", "d_rz", "d_gripper"]
     return a.select("episode_id", "record_index", "terminal", *(r6(at(F.col("action"), i)).alias(n) for i, n in enumerate(names)))
 
 
@@ -736,20 +757,95 @@ def padding_check(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    f"""select state_row_id, {", ".join(f"round(v[{i}] / 1000.0e0, 6) + 0.0e0 as {n}" for i, n in ((1, "x"), (2, "y"), (3, "z")))}, {", ".join(f"round(radians(v[{i}]), 6) + 0.0e0 as {n}" for i, n in ((4, "rx"), (5, "ry"), (6, "rz")))},
+    f"""with {_POSED_SQL} select l.episode_id, l.record_index, {", ".join(f"round({c}, 6) + 0.0e0 as {n}" for c, n in (("x", "x"), ("y", "y"), ("z", "z"), ("a", "rx"), ("b", "ry"), ("c", "rz")))},
   case when greatest(abs(v[1]), abs(v[2]), abs(v[3])) > 10 then 'mm' when greatest(abs(v[1]), abs(v[2]), abs(v[3])) <= 2 then 'm' else 'unknown' end as guess
-from (select state_row_id, actual_tcp_position as v from robot_state_rt where {vec_ok("actual_tcp_position", 6)})"""
+from lab l join posed p on l.episode_id = p.episode_id and l.record_index = p.record_index"""
 )
 def pose_units(spark: SparkSession, d: str) -> DataFrame:
-    r = table(spark, d, "robot_state_rt").where(finite_vector(F.col("actual_tcp_position"), 6))
-    v = F.col("actual_tcp_position")
-    top = max_abs(F.slice(v, 1, 3))
-    return r.select(
-        "state_row_id", *(r6(at(v, i) / 1000.0).alias(n) for i, n in enumerate("xyz")), *(r6(F.radians(at(v, i + 3))).alias(n) for i, n in enumerate(("rx", "ry", "rz"))),
-        F.when(top > 10, "mm").when(top <= 2, "m").otherwise("unknown").alias("guess"),
+    key = ["episode_id", "record_index"]
+    r = table(spark, d, "robot_state_rt")
+    p = convert.poses(r, table(spark, d, "streams_index"), convert.SYNTHETIC_UNITS).where("error is null")
+    top = max_abs(F.slice("actual_tcp_position", 1, 3))
+    j = p.join(r.select("state_row_id", top.alias("top")), "state_row_id")
+    return j.select(
+        *key, *(r6(at(F.col("position"), i)).alias(n) for i, n in enumerate("xyz")), *(r6(at(F.col("rotation"), i)).alias(n) for i, n in enumerate(("rx", "ry", "rz"))),
+        F.when(F.col("top") > 10, "mm").when(F.col("top") <= 2, "m").otherwise("unknown").alias("guess"),
     )
 
 
+_JOINT_CASE = "case when {0} in {1} then list_transform({2}, lambda x: radians(x)) when {0} in {3} then {2} end"
+_STATE_SQL = f"""
+one as (select episode_id, record_index, arg_min({{'v': actual_tcp_position, 'u': units, {", ".join(f"'{c}': {c}" for c in WRENCH_ORDER)}}}, state_row_id) as o from robot_state_rt where record_index is not null group by all),
+jnt as (select episode_id, record_index, arg_min({{'p': position, 'v': velocity, 'u': units}}, joint_row_id) as j from joint_states group by all),
+lab as (select one.episode_id, one.record_index, o.v as v, {_unit_sql("o.u", "r.e", ("tcp_position",), "mm")} as pu, {_unit_sql("o.u", "r.e", ("tcp_orientation",), "deg")} as au,
+  {_GRIP_VALUE} as grip, case {" ".join(f"when {vec_ok(f'o.{c}', 6)} then o.{c}" for c in WRENCH_ORDER)} end as wr, case {" ".join(f"when {vec_ok(f'o.{c}', 6)} then '{c}'" for c in WRENCH_ORDER)} end as wrench_source,
+  {vec_ok("j.p", 6)} as jp_ok, {vec_ok("j.v", 6)} as jv_ok, j.p as jp0, j.v as jv0,
+  {_unit_sql("j.u", "q.e", ("joint_position", "position"), "deg")} as ju, {_unit_sql("j.u", "q.e", ("joint_velocity", "velocity"), "deg/s")} as jvu
+  from one left join jnt on one.episode_id = jnt.episode_id and one.record_index = jnt.record_index left join {_GRIP_SQL} g on one.episode_id = g.episode_id and one.record_index = g.record_index
+  left join {_entry_sql("robot_state_rt")} r on one.episode_id = r.episode_id left join {_entry_sql("joint_states")} q on one.episode_id = q.episode_id),
+conv as (select *, case when jp_ok then {_JOINT_CASE.format("ju", _in(convert.DEGREES), "jp0", _in(convert.RADIANS))} end as jp,
+  case when jv_ok then {_JOINT_CASE.format("jvu", _in(convert.DEGREE_RATES), "jv0", _in(convert.RADIAN_RATES))} end as jv from lab),
+st as (select *, case when not {vec_ok("v", 6)} then 'tcp position is not 6 finite numbers' when pu not in {_in(convert.MILLIMETRES + convert.METRES)} then 'tcp_position unit is missing or unknown'
+  when au not in {_in(convert.DEGREES + convert.RADIANS)} then 'tcp_orientation unit is missing or unknown' when grip is null then 'gripper holds no finite value'
+  when wr is null then 'no wrench source holds 6 finite numbers' when not jp_ok then 'joint position is not 6 finite numbers' when jp is null then 'joint_position unit is missing or unknown'
+  when not jv_ok then 'joint velocity is not 6 finite numbers' when jv is null then 'joint_velocity unit is missing or unknown' end as error,
+  list_concat(case when pu in {_in(convert.MILLIMETRES)} then list_transform(v[1:3], lambda x: x / 1000.0e0) else v[1:3] end, case when au in {_in(convert.DEGREES)} then list_transform(v[4:6], lambda x: radians(x)) else v[4:6] end,
+    [grip], wr, jp, jv) as state from conv)
+"""
+
+
+@query(
+    f"""with {_STATE_SQL} select episode_id, record_index, wrench_source, array_to_string(list_filter([case when jp_ok then 'joint_states.position' end, case when jv_ok then 'joint_states.velocity' end], lambda x: x is not null), '; ') as joint_source, error,
+  {", ".join(f"round(case when error is null then state[{i + 1}] end, 6) + 0.0e0 as s_{i}" for i in range(25))} from st"""
+)
+def model_states(spark: SparkSession, d: str) -> DataFrame:
+    s = convert.states(*(table(spark, d, n) for n in ("robot_state_rt", "joint_states", "gripper_state", "streams_index")), convert.SYNTHETIC_UNITS)
+    return s.select("episode_id", "record_index", "wrench_source", "joint_source", "error", *(r6(at(F.col("model_state"), i)).alias(f"s_{i}") for i in range(25)))
+
+
+_SETS_SQL = """
+own as (select distinct episode_id, 'joint_states' as stream, record_index from joint_states where record_index is not null union select episode_id, 'gripper_state', record_index from gripper_state where record_index is not null
+  union select episode_id, stream_name, record_index from camera_index where record_index is not null),
+base as (select distinct episode_id, record_index from robot_state_rt where record_index is not null),
+want as (select base.episode_id, stream, record_index, 1 as in_a from base join (select distinct episode_id, stream from own) using (episode_id)),
+j as (select coalesce(want.episode_id, own.episode_id) as episode_id, coalesce(want.stream, own.stream) as stream, coalesce(want.record_index, own.record_index) as k, in_a is not null as a, own.stream is not null as b
+  from want full join own on want.episode_id = own.episode_id and want.stream = own.stream and want.record_index = own.record_index),
+sets as (select episode_id, stream, count(*) filter (a and b) as n_common, count(*) filter (not b) as n_missing, count(*) filter (not a) as n_extra,
+  array_to_string(list_sort(list(k) filter (not b))[1:10], ',') as first_missing, array_to_string(list_sort(list(k) filter (not a))[1:10], ',') as first_extra,
+  count(*) filter (not b) = 0 and count(*) filter (not a) = 0 as aligned from j group by all)
+"""
+
+
+def _streams_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    return {n: table(spark, d, n) for n in ("joint_states", "gripper_state", "camera_index")}
+
+
+@query(f"with {_SETS_SQL} select * from sets")
+def index_alignment(spark: SparkSession, d: str) -> DataFrame:
+    return convert.index_sets(table(spark, d, "robot_state_rt"), _streams_of(spark, d))
+
+
+@query(
+    f"""with {_SETS_SQL}, {_STATE_SQL},
+t0 as (select episode_id, record_index, arg_min({{'t': {STAMP_SQL}, 'm': monotonic_stamp}}, state_row_id) as s from robot_state_rt where record_index is not null group by all),
+t1 as (select *, lag(s) over (partition by episode_id order by record_index) as p from t0),
+t2 as (select episode_id, bool_and(s.t is not null and (p is null or p.t is null or s.t > p.t)) as ok_t, bool_and(s.m is not null and (p is null or p.m is null or s.m > p.m)) as ok_m from t1 group by 1),
+views as (select distinct episode_id, case when stream_name in ('tcp_camera', 'wrist_camera') then 'tcp' else 'external' end as v, stream_name from camera_index where stream_name <> 'external_camera_2'),
+seen as (select episode_id, count(*) as n from (select episode_id, v from views group by all having count(*) = 1) group by 1),
+bad as (
+  select episode_id, min(stream) || ': record indexes differ from the robot''s' as reason, 0 as rank from sets where not aligned group by 1
+  union all select episode_id, 'record indexes do not run from 0 without a hole', 1 from base group by 1 having not (min(record_index) = 0 and max(record_index) = count(*) - 1 and count(*) >= 2)
+  union all select episode_id, arg_min(error, record_index) filter (error is not null), 2 from st group by 1 having count(error) > 0
+  union all select e.episode_id, 'a view has no camera stream', 3 from (select distinct episode_id from robot_state_rt) e left join seen using (episode_id) where coalesce(n, 0) < 2
+  union all select episode_id, 'stamps do not increase', 4 from t2 where not coalesce(ok_t, false) and not coalesce(ok_m, false))
+select episode_id, arg_min(reason, rank) as reason from bad group by 1"""
+)
+def conversion_refused(spark: SparkSession, d: str) -> DataFrame:
+    c = table(spark, d, "camera_index")
+    views = cameras.select_views(c.where("stream_name <> 'external_camera_2'").select("episode_id", "stream_name", F.lit("camera").alias("kind"), F.lit(None).cast("string").alias("role")))
+    return convert.processed_frames(*(table(spark, d, n) for n in ("robot_state_rt", "joint_states", "gripper_state", "camera_index", "streams_index")), views, convert.SYNTHETIC_UNITS)[1]
+
+
 @query("select 'robot_state_rt' as stream, episode_id, count(*) as n from robot_state_rt group by all union all select 'joint_states', episode_id, count(*) from joint_states group by all union all select 'gripper_state', episode_id, count(*) from gripper_state group by all")
 def episodes_union(spark: SparkSession, d: str) -> DataFrame:
     out = None
