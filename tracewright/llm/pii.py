@@ -53,6 +53,7 @@ _AT_HOST = re.compile(rf"@{_HOST}(?:\.{_HOST})+")
 _SPELLED_AT = re.compile(
     rf"(?:\s?(?:\[at\]|\(at\)|\{{at\}})\s?|\s@\s?|\s?@\s)(?:{_HOST})(?:(?:\.|\s?(?:\[dot\]|\(dot\))\s?){_HOST})+| (?:AT|at) {_HOST}(?: (?:DOT|dot) {_HOST})+", re.I
 )
+_SPELLED_HINTS = ("[at]", "(at)", "{at}", " @", "@ ", " dot ")
 _FILE = re.compile(r"\.(?:jsonl?|csv|py|txt|parquet|yaml|png|jpe?g)$", re.I)
 _LONGEST_LOCAL = 64  # longest local part of an address (RFC 5321)
 
@@ -81,18 +82,51 @@ _SUFFIX = r"(?:straße|strasse|str\.|weg|gasse|platz|allee|ufer|ring|damm|steig|
 _FOREIGN = r"(?:[Rr]ue|[Aa]venue|[Bb]oulevard|[Pp]lace|[Qq]uai|[Vv]ia|[Vv]iale|[Pp]iazza|[Cc]alle|[Pp]laza|[Pp]aseo|[Rr]ua|[Aa]venida)"
 _SMALL = r"(?:de|la|le|les|du|des|del|della|di|da|do|dos|of|the|van|von|der|den|y|l'|d')"
 _TOWN = rf"(?:,(?: \d{{4,5}})?(?: {_CAP}){{1,2}}(?:,? (?:\d{{4,6}}|[A-Z]{{1,2}}\d[\dA-Z]? \d[A-Z]{{2}}))?(?!\w))?"
-ADDRESS = re.compile(
-    rf"(?<![\w.])(?P<a>\d{{1,5}}[A-Za-z]?,? (?:{_CAP} ){{1,3}}{_TYPE}(?!\w)\.?{_TOWN})"
-    rf"|(?<![\w.])(?P<f>\d{{1,5}}(?: ?bis)?,? {_FOREIGN}(?: {_SMALL}| {_CAP}){{1,5}}(?<![a-z] de)(?<! la){_TOWN})"
-    rf"|(?<!\w)(?P<g>{_FOREIGN}(?: {_SMALL}| {_CAP}){{1,5}},? \d{{1,4}}(?!\w){_TOWN})"
-    rf"|(?<!\w)(?P<b>(?:(?!(?:An|In|To|At|Nach|Von) ){_CAP} )?[A-ZÄÖÜ][\wßäöü\-]*{_SUFFIX} \d{{1,4}} ?[a-z]?(?!\w)(?:, \d{{4,5}} {_CAP})?)"
-    rf"|(?<!\w)(?P<c>[A-ZÄÖÜ][\wßäöü]*(?:er|en)? (?:Straße|Strasse|Str\.|Weg|Gasse|Platz|Allee|Ring|Damm|Ufer) \d{{1,4}} ?[a-z]?(?!\w)(?:, \d{{4,5}} {_CAP})?)"
-    rf"|(?<!\w)(?P<d>(?:Am|An der|An den|Im|In der|Zum|Zur|Auf dem|Auf der|Hinter dem|Unter den) (?:{_CAP} ){{1,2}}\d{{1,4}}[a-z]?(?!\w)(?:, \d{{4,5}} {_CAP})?)"
-    rf"|(?<![\w.])(?P<e>\d{{1,4}} [A-Z][a-z]+-(?:ro|daero|gil|dong|gu)(?: \d{{1,4}}(?:beon)?-gil)?(?!\w)(?:, {_CAP})?)"
-    rf"|(?<!\w)(?P<h>[A-Z][a-z]+-(?:ro|daero|gil|dong) \d{{1,4}}(?!\w)(?:, (?:Unit|Apt\.?|Suite) \d{{1,4}})?)"
-    rf"|(?<!\w)(?P<p>P\.?O\.? Box \d{{1,6}}(?!\w)(?:, {_CAP})?|Postfach \d{{1,6}}(?!\w))"
+# the house number first
+ADDRESS_FIRST = re.compile(
+    rf"\d{{1,5}}[A-Za-z]?,? (?:{_CAP} ){{1,3}}{_TYPE}(?!\w)\.?{_TOWN}"
+    rf"|\d{{1,5}}(?: ?bis)?,? {_FOREIGN}(?: {_SMALL}| {_CAP}){{1,5}}(?<![a-z] de)(?<! la){_TOWN}"
+    rf"|\d{{1,4}} [A-Z][a-z]+-(?:ro|daero|gil|dong|gu)(?: \d{{1,4}}(?:beon)?-gil)?(?!\w)(?:, {_CAP})?"
 )
-_ADDRESS_HINT = re.compile(rf" {_TYPE}\b|{_SUFFIX} \d|\b(?:Straße|Strasse|Str\.|Weg|Gasse|Platz|Allee|Ring|Damm|Ufer) \d|(?:ro|gil|dong)\b|Box \d|Postfach|\b{_FOREIGN}\b|(?:Am|An der|An den|Im|In der|Zum|Zur|Auf dem|Auf der|Hinter dem|Unter den) (?:[^\W\d]+ ){{1,2}}\d")
+# the house number last
+ADDRESS_LAST = re.compile(
+    rf"(?<!\w)(?:{_FOREIGN}(?: {_SMALL}| {_CAP}){{1,5}},? \d{{1,4}}(?!\w){_TOWN}"
+    rf"|(?:Am|An der|An den|Im|In der|Zum|Zur|Auf dem|Auf der|Hinter dem|Unter den) (?:{_CAP} ){{1,2}}\d{{1,4}}[a-z]?(?!\w)(?:, \d{{4,5}} {_CAP})?"
+    rf"|(?:(?!(?:An|In|To|At|Nach|Von) ){_CAP} )?[A-ZÄÖÜ][\wßäöü\-]*{_SUFFIX} \d{{1,4}} ?[a-z]?(?!\w)(?:, \d{{4,5}} {_CAP})?"
+    rf"|[A-ZÄÖÜ][\wßäöü]*(?:er|en)? (?:Straße|Strasse|Str\.|Weg|Gasse|Platz|Allee|Ring|Damm|Ufer) \d{{1,4}} ?[a-z]?(?!\w)(?:, \d{{4,5}} {_CAP})?"
+    rf"|[A-Z][a-z]+-(?:ro|daero|gil|dong) \d{{1,4}}(?!\w)(?:, (?:Unit|Apt\.?|Suite) \d{{1,4}})?"
+    rf"|P\.?O\.? Box \d{{1,6}}(?!\w)(?:, {_CAP})?|Postfach \d{{1,6}}(?!\w))"
+)
+_HOUSE = re.compile(r"(?<![\w.])\d{1,6}[A-Za-z]?(?!\w)")
+_REACH = 64  # characters that a street's name may stand before its house number
+
+
+def _addresses(text: str) -> list[tuple[int, int]]:
+    """Spans of the shape of an address. House numbers are looked up first, then the words
+    around them, so a text costs what its figures cost."""
+    out: list[tuple[int, int]] = []
+    for h in _HOUSE.finditer(text):
+        a, b = h.span()
+        if out and a < out[-1][1]:
+            continue
+        m = None
+        nxt = text[b : b + 3].lstrip(", ")[:1]
+        if nxt.isupper() or nxt in _LOWER_STARTS and nxt:
+            m = ADDRESS_FIRST.match(text, a)
+        if m is None and a > 1 and text[a - 1] == " ":
+            word = text[text.rfind(" ", 0, a - 1) + 1 : a - 1].rstrip(",")
+            if word[:1].isupper() or word.endswith(_LOWER_STREETS):
+                for x in ADDRESS_LAST.finditer(text, max(0, a - _REACH)):
+                    if x.end() > a:
+                        m = x if x.start() < a else None
+                        break
+        if m:
+            out.append(m.span())
+    return out
+
+
+_LOWER_STARTS = "rabpqvc"  # of rue, avenue, boulevard, place, quai, via, calle
+_LOWER_STREETS = ("straße", "strasse", "str.", "weg", "gasse", "platz", "allee", "ufer", "ring", "damm")
 ADDRESS_CUE = re.compile(
     r"\b(?:lives?|living|resid(?:es|ing)|moved|move|address|adresse|anschrift|lieferadresse|ship(?:ped|ping)?|deliver(?:ed|y)?|send|sent|post(?:ed)?|mail(?:ed)?|taxi|courier|parcel|package|office|visit|located|headquarters|home|wohnt|wohnhaft|geliefert|lieferung|lieferungen|paket|b[üu]ro)\b[^.\n]{0,28}$", re.I
 )
@@ -188,7 +222,8 @@ def _emails(text: str) -> list[tuple[int, int, bool]]:
         if a is not None:
             out.append((a, m.end(), True))
         at = text.find("@", at + 1)
-    if "@" in text or "at" in text or "AT" in text:
+    low = text.lower()
+    if any(h in low for h in _SPELLED_HINTS):
         for m in _SPELLED_AT.finditer(text):
             if not any(a < m.end() and m.start() < b for a, b, _ in out):
                 a = local(m.start())
@@ -239,12 +274,11 @@ def candidates(text: str, common: set[str]) -> list[tuple[str, int, int, str, li
         votes = _sign(True) + _sign(ending.isalpha() and len(ending) > 1) + _sign(not _FILE.search(s)) + _sign(True if cue else None)
         out.append(("email", a, b, votes, _features(s, before, after), email_parts(s)))
     taken = [(a, b) for a, b, _ in emails]
-    for m in ADDRESS.finditer(text) if _ADDRESS_HINT.search(text) else ():
-        a, b = m.span()
+    for a, b in _addresses(text):
         if any(x < b and a < y for x, y in taken):
             continue
         before, after = text[max(0, a - 64) : a], text[b : b + 48]
-        s = m.group()
+        s = text[a:b]
         alone = (a == 0 or text[a - 1] == "\n") and (b == len(text) or text[b] == "\n")
         votes = (
             _sign(True)
@@ -277,8 +311,8 @@ def candidates(text: str, common: set[str]) -> list[tuple[str, int, int, str, li
         if digits <= 14:
             out.append(("idnum", a, b, _sign(ident) + _sign(True if ic else False if pc else None) + no + _sign(False if lead or (phone and not ident) else None) + _sign(True if s[0].isalpha() else None), f, []))
     found = [(a, b, False) for a, b in _name_spans(text, common)]
-    for m in _SMALL_AT.finditer(text):
-        n = _SMALL_NAME.match(text, m.end())
+    for at in _small_starts(text):
+        n = _SMALL_NAME.match(text, at)
         if n:
             parts = re.findall(r"[^\W\d_]{3,}", n.group())
             if parts and not any(p in common or p in EVERYDAY for p in parts):
@@ -303,12 +337,24 @@ def candidates(text: str, common: set[str]) -> list[tuple[str, int, int, str, li
     return out
 
 
-#: Where two rare words in small letters may be a name.
-_SMALL_AT = re.compile(
-    r"(?:^|(?<=[.!?;:] )|(?<=\n)|(?<=\n- )|(?<!\w)(?:by|ask|thanks to|according to|owner:?|operator:?|cc:?|contact:?|name:?|reviewer:?|author:?|signed:?|dr\.|mrs\.|mr\.|ms\.|prof\.|herrn?|frau|von|laut|[-–]) )(?=[a-zß-ÿ])", re.I
+#: Where two rare words in small letters may be a name: where a sentence begins, after a cue.
+_SMALL_START = re.compile(r"[.!?;:\n] ?(?:[-–] )?(?=[a-zß-ÿ])")
+_SMALL_CUE = re.compile(
+    "(?:"
+    + "|".join(w for x in r"by ask thanks_to according_to owner operator cc contact name reviewer author signed dr\. mrs\. mr\. ms\. prof\. herr herrn frau von laut".split() for w in (x.replace("_", " "), x.replace("_", " ").capitalize()))
+    + "|-):? (?=[a-zß-ÿ])"
 )
 
 
+def _small_starts(text: str) -> list[int]:
+    out = {m.end() for m in _SMALL_START.finditer(text)} | {0}
+    for m in _SMALL_CUE.finditer(text):
+        a = m.start()
+        if a == 0 or not (text[a - 1].isalnum() or text[a - 1] == "_"):
+            out.add(m.end())
+    return sorted(out)
+
+
 # --- learning -------------------------------------------------------------------------
 #: A common word stands in a run of capitalised words in less than this share of its documents.
 IN_RUNS = 0.2
@@ -323,9 +369,10 @@ def common_words(documents: DataFrame) -> set[str]:
     each = lambda found: docs.select(F.explode(F.array_distinct(found)).alias("w")).groupBy("w").count()
     words = F.filter(F.split(F.lower("text"), r"[^\p{L}]+"), lambda w: F.length(w) > 1)
     often = each(words).where(F.col("count") >= max(2.0, COMMON * total)).collect()
-    # the later words of runs, and the first one where no sentence begins with it
-    parts = F.regexp_extract_all(F.col("text"), F.lit(r"(?<=[\p{Ll},;:] )(\p{Lu}\p{L}+)(?=,? \p{Lu}[\p{L}.])|(?<=\p{Lu}\p{L}{1,24},? |\p{Lu}\. )(\p{Lu}\p{L}+)"), F.lit(0))
-    in_run = F.transform(parts, lambda w: F.lower(w))
+    # the later words of runs, and the first one where no sentence begins with it: what is
+    # cut off is that word, or the letter before it
+    runs = F.regexp_extract_all(F.col("text"), F.lit(r"(?:[\p{Ll},;:] )?\p{Lu}\p{L}+(?:,? \p{Lu}[\p{L}.]+)+"), F.lit(0))
+    in_run = F.flatten(F.transform(runs, lambda m: F.slice(F.split(F.lower(F.regexp_replace(m, r"[,.]", "")), " "), 2, 64)))
     names = {r["w"] for r in often}
     pairs = each(in_run).where(F.col("count") >= max(1.0, IN_RUNS * COMMON * total)).collect()
     paired = {r["w"]: r["count"] for r in pairs}
