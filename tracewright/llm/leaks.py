@@ -200,14 +200,19 @@ def leaks(documents: DataFrame, eval_items: DataFrame) -> DataFrame:
     near = cut.join(keys, same, "left_semi").select("doc_id", "text_hash", hashed("words").alias("b"))
     pairs = near.join(full.select(F.col("doc_id").alias("__doc"), F.col("text_hash").alias("__hash"), "items"), same).select("doc_id", "b", "items")
 
+    def lists(x: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
+        return np.asarray(x.offsets), x.values.to_numpy(zero_copy_only=False)
+
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        flat = lambda x: x.values.to_numpy(zero_copy_only=False)
         for batch in batches:
+            bo, bv = lists(batch.column(1))
+            its, at = batch.column(2).values, np.asarray(batch.column(2).offsets)
+            ids = its.field("item_id").to_numpy(zero_copy_only=False).tolist()
+            parts = [lists(its.field(n)) for n in ("item", "own", "p", "q")]
             rows = []
-            for d, ws, xs in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
-                each = xs.values
-                its = [(e["item_id"].as_py(), *(flat(e[n]) for n in ("item", "own", "p", "q"))) for e in each]
-                rows += [(d, *x) for x in leaks_in(flat(ws), its)]
+            for r, d in enumerate(batch.column(0).to_pylist()):
+                items = [(ids[i], *(v[o[i] : o[i + 1]] for o, v in parts)) for i in range(at[r], at[r + 1])]
+                rows += [(d, *x) for x in leaks_in(bv[bo[r] : bo[r + 1]], items)]
             cols = list(zip(*rows)) if rows else [(), (), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.float64()))], ["doc_id", "item_id", "passage_words", "coverage"])
 
