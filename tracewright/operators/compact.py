@@ -98,7 +98,9 @@ def _conf(spark: SparkSession, values: dict[str, str]):
 
 def consolidate(records: DataFrame, out: str, target_bytes: int = TARGET_BYTES, key=KEY, expect: tuple | None = None) -> DataFrame:
     """Writes records into files near ``target_bytes`` at ``out`` and returns them read
-    back. Nothing appears at ``out`` unless the checksums agree."""
+    back. Nothing appears at ``out`` unless the checksums agree, and a table that stood there
+    stays, at ``out`` or beside it with the ending .old, until the new one is in its place.
+    The target size is a setting of the session while this writes."""
     spark = records.sparkSession
     part = f"{out.rstrip('/')}.part"
     with _conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_bytes), "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}):
@@ -110,9 +112,17 @@ def consolidate(records: DataFrame, out: str, target_bytes: int = TARGET_BYTES,
         raise RuntimeError(f"consolidation lost or doubled records: read {want}, wrote {wrote}")
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     fs = path(out).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(path(out), True)
+    old = f"{out.rstrip('/')}.old"
+    # the old table is put aside, not deleted, until the new one is in its place
+    if fs.exists(path(out)):
+        fs.delete(path(old), True)
+        if not fs.rename(path(out), path(old)):
+            raise RuntimeError(f"could not put {out} aside")
     if not fs.rename(path(part), path(out)):
+        if fs.exists(path(old)):
+            fs.rename(path(old), path(out))
         raise RuntimeError(f"could not commit {out}")
+    fs.delete(path(old), True)
     return spark.read.schema(records.schema).parquet(out)
 
 

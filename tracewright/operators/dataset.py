@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tracewright.functions.labels import non_empty
 from tracewright.functions.vectors import PROFILES, profile_slice
+from tracewright.session import stage
 
 EPISODES_PER_CHUNK = 1000
 #: Names of the exported columns (fixed values).
@@ -23,21 +24,28 @@ def without_padding(frames: DataFrame) -> DataFrame:
     return frames.where(~F.coalesce("action_is_terminal_padding", F.lit(False)))
 
 
-def export_plan(frames: DataFrame, profile: str) -> DataFrame:
-    """Per episode: frames in, exported, left out; images there; a look at the first."""
+def export_plan(frames: DataFrame, profile: str, metadata: DataFrame | None = None) -> DataFrame:
+    """Per episode: frames in, exported, left out; images there; a look at the first exported
+    frame: its stamp, the lengths of its vectors, its task."""
     if profile not in PROFILES:
         raise ValueError(f"unknown profile {profile!r}")
     keep = ~F.coalesce("action_is_terminal_padding", F.lit(False))
-    return frames.groupBy("episode_id").agg(
+    state = profile_slice(F.col("model_state"), profile)
+    first = F.min(F.when(keep, F.struct("frame_index", "frame_row_id", F.col("timestamp").alias("t"), F.size(state).alias("s"), F.size("measured_action").alias("a"))))
+    p = frames.groupBy("episode_id").agg(
         F.count("*").alias("frames_in"),
         F.count(F.when(keep, 1)).alias("exported"),
         F.count(F.when(~keep, 1)).alias("excluded"),
         F.count(F.when(keep & non_empty(F.col("external_rgb_path")), 1)).alias("external_images"),
         F.count(F.when(keep & non_empty(F.col("tcp_rgb_path")), 1)).alias("tcp_images"),
-        F.min(F.when(keep, F.col("frame_index"))).alias("first_frame"),
-        F.min(F.when(keep, F.struct("frame_index", "frame_row_id", F.size("measured_action").alias("n")))).getField("n").alias("action_length"),
-        F.lit(PROFILES[profile]).alias("state_dim"),
-    )
+        first.alias("f"), F.lit(PROFILES[profile]).cast("long").alias("state_dim"),
+    )
+    length = lambda k: F.when(F.col(f"f.{k}") >= 0, F.col(f"f.{k}")).cast("long")
+    p = p.select("*", F.col("f.frame_index").alias("first_frame"), F.col("f.t").alias("first_timestamp"), length("s").alias("state_length"), length("a").alias("action_length")).drop("f")
+    if metadata is None:
+        return p
+    m = metadata.groupBy("episode_id").agg(F.min_by("task_instruction", "meta_row_id").alias("first_task"))
+    return p.join(m, "episode_id", "left")
 
 
 def staged(frames: DataFrame, metadata: DataFrame, profile: str) -> DataFrame:
@@ -61,18 +69,18 @@ def task_dictionary(episodes: DataFrame, order: str, task: str = "task") -> Data
 
 def episode_table(frames: DataFrame) -> DataFrame:
     """(episode_id, episode_index, length, offset, chunk): episodes in order of id; offset
-    is the number of frames before. One row an episode: prefix sums run in two steps, over
-    hashed ranges first, so that their number does not matter."""
+    is the number of frames before. One row an episode: these are range partitioned by id, and
+    prefix sums run over the ranges first, so that neither their number nor the form of their
+    ids matters."""
     e = frames.groupBy("episode_id").agg(F.count("*").alias("length"))
-    digits = F.substr(F.col("episode_id"), F.lit(1), F.greatest(F.lit(1), F.length("episode_id") - 3))
-    e = e.withColumn("range", digits)
+    e = stage(e.repartitionByRange("episode_id").withColumn("range", F.spark_partition_id()), "episodes")
     r = e.groupBy("range").agg(F.count("*").alias("n"), F.sum("length").alias("t"))
-    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)  # one row a range
     r = r.select("range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("n0"), F.coalesce(F.sum("t").over(before), F.lit(0)).alias("t0"))
     w = Window.partitionBy("range").orderBy("episode_id")
     past = w.rowsBetween(Window.unboundedPreceding, -1)
     return (
-        e.join(r, "range")
+        e.join(F.broadcast(r), "range")
         .withColumn("episode_index", F.col("n0") + F.row_number().over(w) - 1)
         .withColumn("offset", F.col("t0") + F.coalesce(F.sum("length").over(past), F.lit(0)))
         .withColumn("chunk", F.floor(F.col("episode_index") / EPISODES_PER_CHUNK))

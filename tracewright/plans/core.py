@@ -422,12 +422,14 @@ def array_summary(spark: SparkSession, d: str) -> DataFrame:
 @query(
     """select episode_id, count(*) as frames_in, count(*) filter (k) as exported, count(*) filter (not k) as excluded,
   count(*) filter (k and length(trim(external_rgb_path)) > 0) as external_images, count(*) filter (k and length(trim(tcp_rgb_path)) > 0) as tcp_images,
-  min(frame_index) filter (k) as first_frame, cast(len(min_by(measured_action, (frame_index, frame_row_id)) filter (k)) as bigint) as action_length, cast(13 as bigint) as state_dim
-from (select *, not coalesce(action_is_terminal_padding, false) as k from frames) group by episode_id"""
+  min(frame_index) filter (k) as first_frame, cast(len(min_by({'v': measured_action}, (frame_index, frame_row_id)) filter (k).v) as bigint) as action_length, cast(13 as bigint) as state_dim,
+  round(min_by({'v': "timestamp"}, (frame_index, frame_row_id)) filter (k).v, 6) + 0.0e0 as first_timestamp, cast(len(min_by({'v': model_state[1:13]}, (frame_index, frame_row_id)) filter (k).v) as bigint) as state_length,
+  any_value(first_task) as first_task
+from (select f.*, first_task, not coalesce(action_is_terminal_padding, false) as k from frames f left join (select episode_id, min_by(task_instruction, meta_row_id) as first_task from metadata group by 1) m on f.episode_id = m.episode_id) group by episode_id"""
 )
 def export_plan(spark: SparkSession, d: str) -> DataFrame:
-    p = dataset.export_plan(table(spark, d, "frames"), "compact_13d")
-    return p.withColumn("action_length", F.col("action_length").cast("long")).withColumn("state_dim", F.col("state_dim").cast("long"))
+    p = dataset.export_plan(table(spark, d, "frames"), "compact_13d", table(spark, d, "metadata"))
+    return p.withColumn("first_timestamp", r6("first_timestamp"))
 
 
 @query(
@@ -592,17 +594,15 @@ def synthetic_flags(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(
-    """with c as (select distinct episode_id, stream_name, coalesce(case when r in ('tcp_camera', 'wrist_camera', 'tcp', 'wrist') then 'tcp' when r in ('external_camera', 'external', 'external_camera_1', 'external_rgb') then 'external' end,
-    case when stream_name in ('tcp_camera', 'wrist_camera') then 'tcp' when stream_name like 'external\\_camera%' escape '\\' then 'external' end) as "view"
-  from (select episode_id, stream_name, replace(replace(lower(trim(camera_role)), ' ', '_'), '-', '_') as r from camera_index)),
+    f"""with c as (select distinct episode_id, stream_name, case when stream_name in ('tcp_camera', 'wrist_camera') then 'tcp' when stream_name = 'external_camera' or starts_with(stream_name, 'external_camera_') then 'external' end as "view"
+  from streams_index where stream_name in {_in(L.CAMERA_STREAMS)} or replace(replace(lower(trim(kind)), ' ', '_'), '-', '_') in {_in(L.CAMERA_KINDS)}),
 i as (select episode_id, "view", count(*) as n, min(stream_name) as s from c where "view" is not null group by all),
-w as (select episode_id, v as "view" from (select distinct episode_id from camera_index), (values ('external'), ('tcp')) as t(v))
+w as (select episode_id, v as "view" from (select distinct episode_id from streams_index), (values ('external'), ('tcp')) as t(v))
 select w.episode_id, w."view", case when n = 1 then s end as stream_name, case when n = 1 then 'inferred' end as source,
   case when n is null then 'no camera stream' when n > 1 then 'multiple candidates' end as error from w left join i on w.episode_id = i.episode_id and w."view" = i."view" """
 )
 def camera_views(spark: SparkSession, d: str) -> DataFrame:
-    c = table(spark, d, "camera_index").select("episode_id", "stream_name", F.lit("camera").alias("kind"), F.col("camera_role").alias("role"))
-    return cameras.select_views(c)
+    return cameras.select_views(table(spark, d, "streams_index").select("episode_id", "stream_name", "kind"))
 
 
 @query(

@@ -98,9 +98,11 @@ def exported_actions(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def stream_path(stream: Column, path: Column) -> Column:
-    """A stream's path by its entry, else by default; null if it would leave the episode."""
+    """A stream's path by its entry, else by default (a stream without one of its own lies in
+    streams/<name>.jsonl); null if it would leave the episode."""
     default = F.create_map(*(F.lit(x) for kv in DEFAULT_PATHS.items() for x in kv))
-    p = F.when(non_empty(path), path).otherwise(F.try_element_at(default, stream))
+    other = F.concat(F.lit("streams/"), stream, F.lit(".jsonl"))
+    p = F.when(non_empty(path), path).otherwise(F.coalesce(F.try_element_at(default, stream), other))
     return F.when(safe_path(p), p)
 
 
