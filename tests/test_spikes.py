@@ -94,3 +94,39 @@ def test_mostly_stuck_source_keeps_its_noise(spark, frac):
     x = series(n=100, seed=8)[:50]
     x[10:40] = x[10]
     assert run(spark, x) == set(range(10, 40))
+
+
+def test_an_index_of_very_many_records_spreads(spark):
+    """Thousands of different vectors under one index: blocks stay of one size, and spikes after
+    them are found all the same."""
+    r = np.random.default_rng(9)
+    rows = [(i, "e", 0, [float(v) for v in x], None, None) for i, x in enumerate(r.normal(scale=0.1, size=(5000, 6)) + 5)]
+    rows += [(10_000 + i, "e", 1 + i, [float(v) for v in x], None, None) for i, x in enumerate(r.normal(scale=0.1, size=(200, 6)) + 5)]
+    rows[5100][3][2] += 20.0
+    df = spark.createDataFrame(rows, R)
+    s = spikes.as_series(df, "tcp_wrench", "state_row_id", "record_index", spikes.LIMITS)
+    sizes = [len(x["pos"]) for x in spikes.blocks(s).collect()]
+    assert len(sizes) == -(-5200 // spikes.BLOCK) and max(sizes) <= spikes.BLOCK + 2 * spikes.HALO
+    got = {x["row_id"] for x in spikes.found(df, spark.createDataFrame([], FR), spark.createDataFrame([], SI)).collect()}
+    assert got == {10_100}
+
+
+def test_places_count_every_record_once(spark):
+    r = np.random.default_rng(3)
+    rows = [("tcp_wrench", i, f"e{i % 7}", int(r.integers(0, 300)), [float(i % 11)] * 6, False) for i in range(4000)]
+    got = spikes.ordered_records(spark.createDataFrame(rows, S)).collect()
+    by = {}
+    for x in got:
+        by.setdefault(x["episode_id"], []).append((x["pos"], x["idx"], x["first_id"]))
+    for e, v in by.items():
+        assert sorted(p for p, _, _ in v) == list(range(len(v)))
+        assert [x[1:] for x in sorted(v)] == sorted(x[1:] for x in v)
+
+
+def test_thresholds_are_parameters(spark):
+    x = series(n=100, seed=7)
+    x[40, 2] += 30
+    df = spark.createDataFrame([(i, "e", i, [float(v) for v in row], None, None) for i, row in enumerate(x)], R)
+    fr, si = spark.createDataFrame([], FR), spark.createDataFrame([], SI)
+    assert spikes.found(df, fr, si, ao_z=1e6).count() == 0
+    assert spikes.found(df, fr, si, limits={**spikes.LIMITS, "tcp_wrench": [4.0] * 6}).count() > 50

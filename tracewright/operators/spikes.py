@@ -8,8 +8,8 @@ lasting step) and stays; the others are spikes, are taken out of the level, and
 runs again. Runs of one and the same vector and values that are not finite or beyond the
 physical range are flagged separately.
 
-Long sources are cut into blocks of ``BLOCK`` records with ``HALO`` records of context on
-either side, so no source has to fit into one task. The noise and the coefficient of a
+Sources are cut by place into blocks of ``BLOCK`` records with ``HALO`` records of context on
+either side, so no source, and no index that many records share, has to fit into one task. The noise and the coefficient of a
 source come from all its blocks (weighted mean of block values), so each block is judged
 by the whole source.
 
@@ -25,10 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewright.session import stage
+from tracewright.session import broadcast_if_small, stage
 
 BLOCK, HALO = 384, 24
 #: Half width of the running level, records before and after for the shift test.
@@ -47,33 +47,49 @@ LIMITS = {
 WIDTH = 6
 
 
-def as_series(df: DataFrame, field: str, row_id: str, index: str) -> DataFrame:
+def as_series(df: DataFrame, field: str, row_id: str, index: str, limits: dict[str, list[float]]) -> DataFrame:
     """(field_name, row_id, episode_id, idx, vec, bad) of one field; ``bad`` marks values
     that are not finite or out of range."""
     v = F.slice(F.col(field), 1, WIDTH)
-    lim = F.array(*(F.lit(x) for x in LIMITS[field]))
+    lim = F.array(*(F.lit(x) for x in limits[field]))
     beyond = F.exists(F.arrays_zip(v.alias("v"), lim.alias("m")), lambda s: F.coalesce(F.isnan(s["v"]) | (F.abs(s["v"]) > s["m"]), F.lit(False)))
     return df.where(F.col(field).isNotNull()).select(
         F.lit(field).alias("field_name"), F.col(row_id).alias("row_id"), "episode_id", F.col(index).cast("long").alias("idx"), v.alias("vec"), beyond.alias("bad")
     )
 
 
-def blocks(series: DataFrame) -> DataFrame:
-    """One row per (field, episode, block) with the block's records and its halo, copies
-    of a record collapsed (their row ids kept together)."""
+def ordered_records(series: DataFrame) -> DataFrame:
+    """(field_name, episode_id, idx, first_id, vec, pos): the records of every source, copies
+    collapsed, with their place in it (index, then row id). Records are range partitioned, and
+    a source's places in a partition follow from its counts in those before, so neither a long
+    source nor an index with very many records fills a task."""
     rec = (
         series.where(F.col("episode_id").isNotNull() & F.col("idx").isNotNull() & (F.size("vec") == WIDTH))
         .groupBy("field_name", "episode_id", "idx", "vec")
         .agg(F.min("row_id").alias("first_id"))
     )
-    at = F.floor(F.col("idx") / BLOCK)
-    off = F.col("idx") % BLOCK
-    near = F.array_compact(F.array(at, F.when(off < HALO, at - 1), F.when(off >= BLOCK - HALO, at + 1)))
+    order = ["field_name", "episode_id", "idx", "first_id"]
+    at = F.monotonically_increasing_id()  # partition in the upper bits, row in it in the lower ones
+    rows = rec.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", at)
+    rows = stage(rows.select("*", F.shiftrightunsigned("at", 33).alias("part")), "records")
+    source = ["field_name", "episode_id"]
+    runs = rows.groupBy(*source, "part").agg(F.min("at").alias("start"), F.count("*").alias("n"))
+    before = Window.partitionBy(*source).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    runs = stage(runs.select(*source, "part", (F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("start")).alias("shift")), "record-runs")
+    return rows.join(broadcast_if_small(runs, 96), [*source, "part"]).withColumn("pos", F.col("at") + F.col("shift")).drop("at", "part", "shift")
+
+
+def blocks(series: DataFrame) -> DataFrame:
+    """One row per (field, episode, block) with the BLOCK records of the block and its halo."""
+    at = F.floor(F.col("pos") / BLOCK)
+    off = F.col("pos") % BLOCK
+    near = F.array_compact(F.array(at, F.when((off < HALO) & (at > 0), at - 1), F.when(off >= BLOCK - HALO, at + 1)))
     return (
-        rec.select("field_name", "episode_id", F.explode(near).alias("block"), "idx", "first_id", "vec")
+        ordered_records(series)
+        .select("field_name", "episode_id", F.explode(near).alias("block"), "pos", "idx", "first_id", "vec")
         .groupBy("field_name", "episode_id", "block")
-        .agg(F.collect_list(F.struct("idx", "first_id", "vec")).alias("recs"))
-        .select("field_name", "episode_id", "block", F.col("recs.idx").alias("idx"), F.col("recs.first_id").alias("ids"), F.flatten("recs.vec").alias("vals"))
+        .agg(F.collect_list(F.struct("pos", "idx", "vec")).alias("recs"))
+        .select("field_name", "episode_id", "block", F.col("recs.pos").alias("pos"), F.col("recs.idx").alias("idx"), F.flatten("recs.vec").alias("vals"))
     )
 
 
@@ -88,23 +104,23 @@ def _numpy(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Series:
-    """Records of many blocks end to end, each block sorted by index."""
+    """Records of many blocks end to end, each block in order."""
 
-    def __init__(self, batch: pa.RecordBatch):
+    def __init__(self, batch: pa.RecordBatch, limits: dict[str, list[float]]):
         t = pa.Table.from_batches([batch])
         idx, n = _numpy(t["idx"])
-        ids, _ = _numpy(t["ids"])
+        pos, _ = _numpy(t["pos"])
         vals, _ = _numpy(t["vals"])
         self.group = np.repeat(np.arange(len(n)), n)
-        order = np.lexsort((ids, idx, self.group))
-        self.n, self.idx, self.ids = n, idx[order], ids[order]
+        order = np.lexsort((pos, self.group))
+        self.n, self.idx = n, idx[order]
         self.x = vals.reshape(-1, WIDTH)[order]
         self.end = np.cumsum(n)[self.group]
         self.start = self.end - n[self.group]
         block = t["block"].to_numpy()[self.group]
-        self.core = self.idx // BLOCK == block
-        lim = np.array([LIMITS[f] for f in LIMITS])
-        which = np.array([list(LIMITS).index(f) for f in t["field_name"].to_pylist()], dtype=int)
+        self.core = pos[order] // BLOCK == block
+        lim = np.array([limits[f] for f in limits])
+        which = np.array([list(limits).index(f) for f in t["field_name"].to_pylist()], dtype=int)
         with np.errstate(invalid="ignore"):
             self.ok = np.isfinite(self.x) & (np.abs(self.x) <= lim[which[self.group]])
 
@@ -177,10 +193,10 @@ def _slices(batch: pa.RecordBatch, most: int = 30000) -> Iterator[pa.RecordBatch
         at += k
 
 
-def fit_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def fit_blocks(batches: Iterator[pa.RecordBatch], limits: dict[str, list[float]]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for b in _slices(whole):
-            phi, sigma, n = _fit(Series(b))
+            phi, sigma, n = _fit(Series(b, limits))
             has = n > 0
             yield pa.RecordBatch.from_arrays(
                 [
@@ -204,7 +220,7 @@ def _runs(s: Series) -> np.ndarray:
     return np.bincount(run)[run] >= STUCK_RUN
 
 
-def _spikes(s: Series, phi: np.ndarray, sigma: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _spikes(s: Series, phi: np.ndarray, sigma: np.ndarray, ao_z: float) -> tuple[np.ndarray, np.ndarray]:
     """Spikes and the largest innovation of each record in units of its source's noise."""
     n = len(s.idx)
     use, spike, most = s.ok.copy(), np.zeros(n, bool), np.zeros(n)
@@ -221,7 +237,7 @@ def _spikes(s: Series, phi: np.ndarray, sigma: np.ndarray) -> tuple[np.ndarray,
             z = np.nan_to_num(np.abs(e) / sigma)
         if turn == 0:
             most = z.max(1)
-        cand = (z > AO_Z) & s.ok
+        cand = (z > ao_z) & s.ok
         if not cand.any():
             break
         # length of the candidate runs, by component
@@ -275,69 +291,69 @@ def _floored(sigma: np.ndarray) -> np.ndarray:
     return np.maximum(sigma, np.maximum(three / 20, 1e-9))
 
 
-def flag_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def flag_blocks(batches: Iterator[pa.RecordBatch], limits: dict[str, list[float]], ao_z: float) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for b in _slices(whole):
-            s = Series(b)
+            s = Series(b, limits)
             phi, _ = _numpy(pa.Table.from_batches([b])["phi"])
             sigma, _ = _numpy(pa.Table.from_batches([b])["sigma"])
-            spike, z = _spikes(s, phi.reshape(-1, WIDTH)[s.group], _floored(sigma.reshape(-1, WIDTH))[s.group])
+            spike, z = _spikes(s, phi.reshape(-1, WIDTH)[s.group], _floored(sigma.reshape(-1, WIDTH))[s.group], ao_z)
             stuck = _runs(s)
             out = (spike | stuck) & s.core
             g = s.group[out]
+            vec = pa.ListArray.from_arrays(pa.array(np.arange(int(out.sum()) + 1, dtype=np.int32) * WIDTH), pa.array(s.x[out].ravel()))
             yield pa.RecordBatch.from_arrays(
                 [
                     b.column("field_name").take(pa.array(g)),
                     b.column("episode_id").take(pa.array(g)),
                     pa.array(s.idx[out]),
-                    pa.array(s.ids[out]),
+                    vec,
                     pa.array(np.where(stuck[out], "stuck", "spike").tolist(), pa.string()),
                     pa.array(z[out]),
                 ],
-                ["field_name", "episode_id", "idx", "first_id", "reason", "score"],
+                ["field_name", "episode_id", "idx", "vec", "reason", "score"],
             )
 
 
 FITS = "field_name string, episode_id string, n double, phi array<double>, sigma array<double>"
-FLAGS = "field_name string, episode_id string, idx long, first_id long, reason string, score double"
+FLAGS = "field_name string, episode_id string, idx long, vec array<double>, reason string, score double"
 
 
-def source_noise(b: DataFrame) -> DataFrame:
+def source_noise(b: DataFrame, limits: dict[str, list[float]]) -> DataFrame:
     """(field_name, episode_id, phi, sigma): of every source, from all its blocks."""
-    fits = b.mapInArrow(fit_blocks, FITS)
+    fits = b.mapInArrow(lambda batches: fit_blocks(batches, limits), FITS)
     mean = lambda c: F.array(*(F.try_divide(F.sum(F.col("n") * F.get(c, F.lit(k))), F.sum("n")) for k in range(WIDTH)))
     return fits.groupBy("field_name", "episode_id").agg(mean("phi").alias("phi"), mean("sigma").alias("sigma"))
 
 
-def found(robot_state: DataFrame, frames: DataFrame, streams_index: DataFrame) -> DataFrame:
-    """(field_name, row_id) of all implausible records of the three fields."""
+def found(robot_state: DataFrame, frames: DataFrame, streams_index: DataFrame, ao_z: float = AO_Z, limits: dict[str, list[float]] | None = None) -> DataFrame:
+    """(field_name, row_id) of all implausible records of the three fields. ``ao_z``: how many
+    robust standard deviations an innovation must leave; ``limits``: the physical range of the
+    six components of each field."""
     from tracewright.operators.unitfix import convert_wrenches
 
+    limits = limits or LIMITS
     r = convert_wrenches(
         robot_state.select("state_row_id", "episode_id", "record_index", "tcp_wrench", "measured_tcp_wrench", "units"), streams_index
     )
     act = frames.where(~F.coalesce("action_is_terminal_padding", F.lit(False)))
     series = (
-        as_series(r, "tcp_wrench", "state_row_id", "record_index")
-        .unionByName(as_series(r, "measured_tcp_wrench", "state_row_id", "record_index"))
-        .unionByName(as_series(act, "measured_action", "frame_row_id", "frame_index"))
+        as_series(r, "tcp_wrench", "state_row_id", "record_index", limits)
+        .unionByName(as_series(r, "measured_tcp_wrench", "state_row_id", "record_index", limits))
+        .unionByName(as_series(act, "measured_action", "frame_row_id", "frame_index", limits))
     )
-    return flag(series).select("field_name", "row_id")
+    return flag(series, ao_z, limits).select("field_name", "row_id")
 
 
-def flag(series: DataFrame) -> DataFrame:
+def flag(series: DataFrame, ao_z: float = AO_Z, limits: dict[str, list[float]] | None = None) -> DataFrame:
     """(field_name, row_id, reason, score) of every record that is a spike, part of a stuck
-    run, or out of range; one reason a record (range before stuck before spike)."""
+    run, or out of range; one reason a record (range before stuck before spike). The flags go
+    back to all copies of a record by its source, index and vector: one join."""
+    limits = limits or LIMITS
     series = stage(series, "series")
     b = stage(blocks(series), "blocks")
-    noise = source_noise(b)
-    flags = b.join(noise, ["field_name", "episode_id"]).mapInArrow(flag_blocks, FLAGS)
-    # give the flags back to all copies of the record
-    near = (
-        series.where("not bad")
-        .withColumnRenamed("vec", "v")
-        .join(flags.select("field_name", "episode_id", "idx", "reason", "score", "first_id"), ["field_name", "episode_id", "idx"])
-    )
-    first = series.select("field_name", F.col("row_id").alias("first_id"), F.col("vec").alias("fv"))
-    flagged = near.join(first, ["field_name", "first_id"]).where(F.col("v") == F.col("fv")).groupBy("field_name", "row_id").agg(F.max("reason").alias("reason"), F.max("score").alias("score"))
+    noise = broadcast_if_small(stage(source_noise(b, limits), "noise"), 192)
+    flags = b.join(noise, ["field_name", "episode_id"]).mapInArrow(lambda batches: flag_blocks(batches, limits, ao_z), FLAGS)
+    flags = stage(flags.groupBy("field_name", "episode_id", "idx", "vec").agg(F.max("reason").alias("reason"), F.max("score").alias("score")), "flags")
+    flagged = series.where("not bad").join(broadcast_if_small(flags, 160), ["field_name", "episode_id", "idx", "vec"]).select("field_name", "row_id", "reason", "score")
     return series.where("bad").select("field_name", "row_id", F.lit("range").alias("reason"), F.lit(None).cast("double").alias("score")).unionByName(flagged)
