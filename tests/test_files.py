@@ -97,3 +97,46 @@ def test_one_table(spark):
     v = files(spark, [(1, "r", "robot_state_rt", 0, lines({"raw_force_torque": [1, 2, 3, 4, 5, 6]})), (2, "r", "robot_state_rt", 1, lines({"raw_ft": [1.5, 2, 3, 4, 5, 6]})), (3, "r", "robot_state_rt", 2, lines({"raw_ft": "1,2,3,4,5,7"}))])
     assert [r[0][5] for r in drift.unified(v, "robot_state_rt").orderBy("file_id").select("raw_force_torque").collect()] == [6, 6, 7]
     assert v.where(F.col("content").isNull()).count() == 0
+
+
+def test_versions_and_fingerprints(spark, monkeypatch):
+    monkeypatch.setattr(drift, "CHUNK_FILES", 2)
+    rec = lambda **k: lines({"record_index": 0, **k})
+    rows = [(1, "r", "gripper_state", 0, rec(a=1)), (2, "r", "gripper_state", 1, rec(a=2)), (3, "r", "gripper_state", 2, rec(a=None)), (4, "r", "gripper_state", 3, rec(a="x")), (5, "r", "gripper_state", 4, rec(a="y", b=1)), (6, "r", "gripper_state", 5, rec(a="y", b=1)), (7, "q", "gripper_state", 0, rec(a=1))]
+    got = {r["file_id"]: (r["version"], r["fingerprint"]) for r in drift.versions(files(spark, rows)).collect()}
+    assert {k: v[0] for k, v in got.items()} == {1: 0, 2: 0, 3: 0, 4: 1, 5: 2, 6: 2, 7: 0}
+    assert got[1][1] == got[3][1] == got[7][1] != got[4][1] and len(got[1][1]) == 64
+
+
+def test_routes_follow_time_and_recorder(spark):
+    """``w`` is a width in one recorder and, later there, a position; what it stands for is told
+    by the chain it is in, not by its name."""
+    obj = lambda **k: lines(*({"record_index": i, **{n: v + i / 1000 for n, v in k.items()}} for i in range(3)))
+    rows = [
+        (1, "r", "gripper_state", 0, obj(gripper_width_m=0.05, gripper_position=500.5)), (2, "r", "gripper_state", 1, obj(w=0.05, gripper_position=500.5)), (3, "r", "gripper_state", 2, obj(gripper_width_m=0.05, gripper_position=500.5)),
+        (4, "r", "gripper_state", 3, obj(gripper_width_m=0.05, w=500.5)), (5, "q", "gripper_state", 0, obj(gripper_width_m=0.05, odd=3.25)),
+    ]
+    df = files(spark, rows)
+    route = {(r["file_id"], r["name"]): r["target"] for r in drift.routes(df).collect()}
+    assert route[2, "w"] == "gripper_width_m" and route[4, "w"] == "gripper_position" and (5, "odd") not in route
+    t = {(r["file_id"], r["line_no"]): r for r in drift.unified(clashing(df), "gripper_state").collect()}
+    assert len(t) == 15 and t[2, 1]["gripper_width_m"] == 0.05 and t[4, 1]["gripper_position"] == 500.5 and t[5, 2]["others"] == {"odd": "3.251"}
+
+
+def test_values_that_lose_stay_in_others(spark):
+    a = {"record_index": 0, "gripper_width_m": 0.05}
+    rows = [(1, "r", "gripper_state", 0, lines(a)), (2, "r", "gripper_state", 1, lines({"record_index": 0, "width": 0.05})), (3, "r", "gripper_state", 2, lines({"record_index": 0, "width": 0.05, "gripper_width_m": 0.07}))]
+    t = {r["file_id"]: r for r in drift.unified(files(spark, rows), "gripper_state").collect()}
+    assert t[2]["gripper_width_m"] == 0.05 and t[2]["others"] == {}
+    assert t[3]["gripper_width_m"] == 0.07 and t[3]["others"] == {"width": "0.05"}
+
+
+def test_the_old_table_stays_until_the_new_one_is_there(spark, tmp_path):
+    out = str(tmp_path / "t")
+    first = spark.createDataFrame([(1, "a")], "id long, k string")
+    compact.consolidate(first, out, key=("id",))
+    again = compact.consolidate(spark.createDataFrame([(2, "b"), (3, "c")], first.schema), out, key=("id",))
+    assert sorted(r["id"] for r in again.collect()) == [2, 3] and not (tmp_path / "t.old").exists()
+    with pytest.raises(RuntimeError):
+        compact.consolidate(first, out, key=("id",), expect=(9, 0, 0))
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [2, 3]

@@ -112,3 +112,20 @@ def test_mixture_flags_uncertain_sources(spark):
     m = unitfix.log_level_mixture(lev, [0.001, 0.01, 0.0254, 1.0], lev.where("level < 0"))
     post = [r["post"] for r in unitfix.with_posterior(lev, m).collect()]
     assert post[0].index(max(post[0])) == 3 and post[5].index(max(post[5])) == 0
+
+
+def test_suspicion_of_unstated_sources(spark):
+    """Sources on the common scale, one a thousand times larger, one that states its unit."""
+    import random
+
+    r = random.Random(1)
+    vec = lambda f: [f * r.uniform(5, 15) for _ in range(6)]
+    robot = [(e * 100 + i, f"e{e}", vec(1000.0 if e in (7, 8) else 1.0), '{"force": "mN", "torque": "mNm"}' if e == 8 else None) for e in range(20) for i in range(30)]
+    df = spark.createDataFrame(robot, "state_row_id long, episode_id string, tcp_wrench array<double>, units string")
+    j = spark.createDataFrame([], "joint_row_id long, episode_id string, position array<double>, velocity array<double>, units string")
+    si = spark.createDataFrame([], "entry_id long, episode_id string, stream_name string, units string, notes string")
+    rows = {(x["field_name"][-6:], x["episode_id"]): x for x in unitfix.suspicion(clashing(j), clashing(df), si).collect()}
+    assert ("torque", "e8") not in rows and ("torque", "e3") in rows and len(rows) == 2 * 19
+    assert rows["torque", "e7"]["suspect"] and rows[" force", "e7"]["suspect"] and not rows[" force", "e3"]["suspect"]
+    assert rows["torque", "e7"]["likeliest_factor"] == 0.001 and rows[" force", "e3"]["likeliest_factor"] == 1.0
+    assert unitfix.suspicion(j, df.where("false"), si).count() == 0

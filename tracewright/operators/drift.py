@@ -3,8 +3,9 @@
 Every file has a fingerprint: its top-level fields, their types and a profile of their
 contents. Within a source (recorder and stream) each file is held against the one before
 it; what goes and what comes in one file, with the same kind of content, is a rename. The
-renames form migration steps (old name to new name); a file is routed through their chain
-to the stream's target fields, then defaults and casts.
+renames form chains that run on in time; every file is routed through the chains it stands
+in to the stream's target fields, then defaults and casts. Fingerprints that differ from the
+one before make a new version.
 
 Order within a source is made without gathering a source in one task: files are range
 partitioned by (source, time), positions and last-known types are carried over the ends of
@@ -90,7 +91,7 @@ def chunks(fp: DataFrame) -> DataFrame:
     """Files in order: (file_id, source, chunk, pos, fields). ``pos`` counts the files of a
     source from 0 over all chunks."""
     files = stage(fp.groupBy("file_id", *SOURCE, "written_at").agg(F.collect_list(F.struct("name", "kind", "p")).alias("fields")), "fingerprints")
-    n = max(1, min(2000, math.ceil(files.count() / CHUNK_FILES)))
+    n = max(1, math.ceil(files.count() / CHUNK_FILES))
     ordered = stage(files.repartitionByRange(n, *SOURCE, "written_at", "file_id").withColumn("chunk", F.spark_partition_id()), "file-chunks")
     w = Window.partitionBy(*SOURCE, "chunk").orderBy("written_at", "file_id")
     local = ordered.withColumn("at", F.row_number().over(w) - 1)
@@ -192,8 +193,16 @@ def _pair(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def changes(raw_files: DataFrame) -> DataFrame:
     """(recorder_id, stream_name, file_id, change_kind, old_field, new_field) of every file."""
+    return changes_of(*prepared(raw_files))
+
+
+def prepared(raw_files: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The files in order and their fields with neighbours, both written."""
     files = stage(chunks(fingerprints(raw_files)), "files")
-    n = stage(neighbours(files), "neighbours")
+    return files, stage(neighbours(files), "neighbours")
+
+
+def changes_of(files: DataFrame, n: DataFrame) -> DataFrame:
     field = F.struct("name", "kind", "p")
     come = n.where((F.col("pos") > 0) & (F.col("prev").isNull() | (F.col("prev") < F.col("pos") - 1))).groupBy("file_id").agg(F.collect_list(field).alias("come"))
     with_known = F.struct("name", F.coalesce("kind", "known").alias("kind"), "p")
@@ -220,32 +229,74 @@ TARGETS = {
 }
 
 
-def migration_steps(change_log: DataFrame) -> dict[str, dict[str, str]]:
-    """Per stream: field name to target field, through chains of renames. The distinct
-    renames are as many as there are field names, however many files there are."""
-    seen = change_log.where("change_kind = 'renamed'").groupBy("stream_name", "old_field", "new_field").count().collect()
-    out: dict[str, dict[str, str]] = {}
-    for stream, target in TARGETS.items():
-        links: dict[str, dict[str, int]] = {}
-        for r in seen:
-            if r["stream_name"] == stream:
-                for a, b in ((r["old_field"], r["new_field"]), (r["new_field"], r["old_field"])):
-                    links.setdefault(a, {})[b] = links.get(a, {}).get(b, 0) + r["count"]
-        step = {t: t for t in target}
-        grown = True
-        while grown:
-            grown = False
-            for name in sorted(set(links) - set(step)):
-                near = [(-n, step[o]) for o, n in links[name].items() if o in step]
-                if near:
-                    step[name] = min(near)[1]
-                    grown = True
-        out[stream] = step
-    return out
-
-
-def _cast(v: Column, kind: str) -> Column:
-    text = F.try_variant_get(v, "$", "string")
+def versions(raw_files: DataFrame) -> DataFrame:
+    """(file_id, recorder_id, stream_name, version, fingerprint): the schema fingerprint of every
+    file (its fields and their types, as last known) and the version it makes in its source: how
+    often the fingerprint changed before."""
+    return versions_of(*prepared(raw_files))
+
+
+def versions_of(files: DataFrame, n: DataFrame) -> DataFrame:
+    told = F.concat("name", F.lit(":"), F.coalesce("kind", "known", F.lit("?")))
+    prints = n.groupBy("file_id").agg(F.sha2(F.array_join(F.sort_array(F.collect_list(told)), ","), 256).alias("fingerprint"))
+    f = stage(files.select(*SOURCE, "chunk", "pos", "file_id").join(prints, "file_id"), "fingerprinted")
+    # what a chunk ends with is carried over its end; then changes are counted chunk by chunk
+    c = Window.partitionBy(*SOURCE).orderBy("chunk")
+    ends = f.groupBy(*SOURCE, "chunk").agg(F.max_by("fingerprint", "pos").alias("last")).select(*SOURCE, "chunk", F.lag("last").over(c).alias("before"))
+    w = Window.partitionBy(*SOURCE, "chunk").orderBy("pos")
+    f = _null_safe_join(f, ends, [*SOURCE, "chunk"]).withColumn("old", F.coalesce(F.lag("fingerprint").over(w), "before"))
+    f = f.withColumn("new", F.coalesce((F.col("old") != F.col("fingerprint")).cast("long"), F.lit(0)))
+    sums = f.groupBy(*SOURCE, "chunk").agg(F.sum("new").alias("s")).select(*SOURCE, "chunk", F.coalesce(F.sum("s").over(c.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("past"))
+    return _null_safe_join(f, sums, [*SOURCE, "chunk"]).select("file_id", *SOURCE, (F.col("past") + F.sum("new").over(w)).alias("version"), "fingerprint")
+
+
+def routes(raw_files: DataFrame) -> DataFrame:
+    """(file_id, name, target): which target every field of every file stands for.
+
+    A field under one name, from the file it comes in to the one it goes after, is a spell. A
+    rename makes the new spell follow the old one of its source, so chains of spells run on in
+    time, each in its own recorder. A chain is what its spells named like a target say (the
+    last of them); a chain without one is what most chains of the stream call its name."""
+    files, n = prepared(raw_files)
+    return routes_of(files, n, changes_of(files, n))
+
+
+def routes_of(files: DataFrame, n: DataFrame, change_log: DataFrame) -> DataFrame:
+    from tracewright.operators.actions import with_last_valid
+
+    key = F.to_json(F.struct(*SOURCE, "name"))
+    begins = F.when(F.col("prev").isNull() | (F.col("prev") < F.col("pos") - 1), F.col("pos"))
+    f = n.select(*SOURCE, "pos", "file_id", "name", key.alias("track"), begins.alias("start"))
+    f = with_last_valid(f, "track", "pos", ["start"]).withColumn("start", F.coalesce("start", "last_start")).drop("last_start")
+    f = stage(f.withColumn("spell", F.xxhash64("track", "start")), "spells")
+    at = files.select("file_id", F.col("pos").alias("new_pos"))
+    links = change_log.where("change_kind = 'renamed'").join(at, "file_id").select(*SOURCE, F.col("old_field").alias("name"), (F.col("new_pos") - 1).alias("pos"), F.col("new_field"), "file_id")
+    old = _null_safe_join(links, f.select(*SOURCE, "name", "pos", "spell"), [*SOURCE, "name", "pos"]).select("file_id", F.col("new_field").alias("name"), F.col("spell").alias("up"))
+    new = f.select("file_id", "name", "spell").join(old, ["file_id", "name"]).select("spell", "up")
+    # chains are paths: every spell finds its first one by doubling
+    up = stage(new, "spell-links")
+    while True:
+        higher = up.select(F.col("spell").alias("up"), F.col("up").alias("top"))
+        nxt = stage(up.join(higher, "up", "left").select("spell", F.coalesce("top", "up").alias("up"), F.col("top").isNotNull().alias("moved")), "spell-links")
+        up = nxt.select("spell", "up")
+        if nxt.where("moved").isEmpty():
+            break
+    is_target = F.lit(False)
+    for stream, fields in TARGETS.items():
+        is_target = is_target | ((F.col("stream_name") == stream) & F.col("name").isin(list(fields)))
+    spells = f.groupBy(*SOURCE, "name", "spell").agg(F.min("pos").alias("pos")).join(up, "spell", "left").withColumn("chain", F.coalesce("up", "spell")).withColumn("own", F.coalesce(is_target, F.lit(False)))
+    spells = stage(spells, "chains")
+    says = spells.where("own").groupBy("chain").agg(F.max_by("name", "pos").alias("says"))
+    told = stage(spells.join(says, "chain", "left"), "told")
+    votes = told.where("says is not null").groupBy("stream_name", "name", "says").agg(F.count("*").alias("n"))
+    usual = votes.groupBy("stream_name", "name").agg(F.max_by("says", F.struct("n", "says")).alias("usual"))
+    target = F.coalesce(F.when(F.col("own"), F.col("name")), F.col("says"), F.col("usual"))
+    known = told.join(usual, ["stream_name", "name"], "left").select("spell", target.alias("target")).where("target is not null")
+    return f.join(known, "spell").select("file_id", "name", "target")
+
+
+def _cast(text: Column, kind: str) -> Column:
+    """A value's JSON text as the target's kind; what cannot be cast is null."""
     inner = F.regexp_replace(text, r'[\[\]"\s]', "")
     if kind == "vector":
         return F.when(F.length(inner) > 0, F.transform(F.split(inner, ","), lambda x: x.try_cast("double")))
@@ -257,18 +308,22 @@ def _cast(v: Column, kind: str) -> Column:
     return text
 
 
-def unified(raw_files: DataFrame, stream: str, steps: dict[str, dict[str, str]] | None = None) -> DataFrame:
-    """One table of a stream: every record line with the target fields (renamed, cast,
-    null where absent) and all other fields in ``others``."""
-    steps = steps or migration_steps(changes(raw_files))
-    lines = json_lines(raw_files.where(F.col("stream_name") == stream).select("file_id", "recorder_id", "written_at", "content"))
-    by_target: dict[str, list[str]] = {}
-    for name, target in steps[stream].items():
-        by_target.setdefault(target, []).append(name)
-    get = lambda name: F.try_variant_get("v", "$['" + name.replace("'", "\\'") + "']", "variant")
-    cols = [
-        F.coalesce(*(_cast(get(n), kind) for n in sorted(by_target[t], key=lambda n, t=t: (n != t, n)))).alias(t) for t, kind in TARGETS[stream].items()
-    ]
-    all_fields = F.from_json(F.to_json("v"), "map<string,string>")
-    known = F.lit(sorted(steps[stream]))
-    return lines.select("file_id", "line_no", "recorder_id", "written_at", *cols, F.map_filter(all_fields, lambda k, _: ~F.array_contains(known, k)).alias("others"))
+def unified(raw_files: DataFrame, stream: str, route: DataFrame | None = None) -> DataFrame:
+    """One table of a stream: every record line with the target fields (renamed by its file's
+    route, cast, null where absent) and, as JSON texts, all other values in ``others``: fields
+    without a target, and values whose target another field of the record fills already (the
+    target's own name goes first, then by name)."""
+    route = routes(raw_files) if route is None else route
+    per_file = route.groupBy("file_id").agg(F.map_from_entries(F.collect_list(F.struct("name", "target"))).alias("route"))
+    lines = json_lines(raw_files.where((F.col("stream_name") == stream) & F.col("file_id").isNotNull()).select("file_id", "recorder_id", "written_at", "content"))
+    j = lines.withColumn("all", F.from_json(F.to_json("v"), "map<string,string>")).drop("v").join(per_file, "file_id", "left")
+    target = lambda k: F.try_element_at("route", k)
+    holds = lambda t: lambda k: F.coalesce(target(k) == t, F.lit(False)) & F.try_element_at("all", k).isNotNull()
+    ranked = lambda t: lambda k: F.struct((k != t).alias("later"), k.alias("name"))
+    for t in TARGETS[stream]:
+        j = j.withColumn(f"__{t}", F.array_min(F.transform(F.filter(F.map_keys("all"), holds(t)), ranked(t)))["name"])
+    chosen = F.array_compact(F.array(*(F.col(f"__{t}") for t in TARGETS[stream])))
+    empty = F.map_filter("all", lambda k, v: ~F.array_contains(chosen, k) & ~(target(k).isNotNull() & v.isNull()))
+    value = lambda t: F.try_element_at("all", F.col(f"__{t}"))
+    cols = [_cast(F.when(F.col(f"__{t}").isNotNull(), value(t)), kind).alias(t) for t, kind in TARGETS[stream].items()]
+    return j.select("file_id", "line_no", "recorder_id", "written_at", *cols, empty.alias("others"))

@@ -201,27 +201,51 @@ def convert_gripper(gripper: DataFrame, streams_index: DataFrame) -> DataFrame:
     )
 
 
-def source_suspicion(joint_states: DataFrame, streams_index: DataFrame) -> DataFrame:
-    """Joint sources without any statement, their mixture posterior of each unit, and
-    whether the scale makes the common unit doubtful (reported, not applied)."""
-    j = with_factors(joint_states, streams_index, "joint_states", ("angle", "angle_rate"))
-    size = F.sqrt(F.aggregate("velocity", F.lit(0.0), lambda a, x: a + x * x))
-    lev = (
-        j.where(F.size("velocity") == 6)
-        .withColumn("size", size)
-        .where(finite(F.col("size")) & (F.col("size") > 0))
-        .groupBy("episode_id", F.col("angle_rate_stated").isNull().alias("unstated"))
-        .agg(F.avg(F.log(F.col("size") * F.col("angle_rate_factor"))).alias("level"), F.count("*").alias("n"))
-    )
+#: Vector quantities: field, table, its vector and which of its components (from 1), kind.
+VECTORS = (
+    ("joint_states.position", "joint_states", "position", (1, 6), "angle"),
+    ("joint_states.velocity", "joint_states", "velocity", (1, 6), "angle_rate"),
+    ("robot_state_rt.tcp_wrench force", "robot_state_rt", "tcp_wrench", (1, 3), "force"),
+    ("robot_state_rt.tcp_wrench torque", "robot_state_rt", "tcp_wrench", (4, 3), "torque"),
+)
+
+
+def source_levels(records: DataFrame, streams_index: DataFrame, stream: str) -> DataFrame:
+    """(field_name, episode_id, unstated, level, n): the mean log size of each vector quantity
+    of each source, in the common unit as far as one is stated. One pass over the table."""
+    mine = [v for v in VECTORS if v[1] == stream]
+    r = with_factors(records, streams_index, stream, tuple(v[4] for v in mine))
+    rows = []
+    for name, _, vector, (a, n), kind in mine:
+        part = F.slice(vector, a, n)
+        size = F.sqrt(F.aggregate(part, F.lit(0.0), lambda x, y: x + y * y)) * F.col(f"{kind}_factor")
+        ok = (F.size(vector) == 6) & finite(size) & (size > 0)
+        rows.append(F.struct(F.lit(name).alias("field_name"), F.col(f"{kind}_stated").isNull().alias("unstated"), F.when(ok, F.log(size)).alias("level")))
+    e = r.select("episode_id", F.explode(F.array(*rows)).alias("x")).select("episode_id", "x.*").where("level is not null")
+    return e.groupBy("field_name", "episode_id", "unstated").agg(F.avg("level").alias("level"), F.count("*").alias("n"))
+
+
+def suspicion(joint_states: DataFrame, robot_state: DataFrame, streams_index: DataFrame) -> DataFrame:
+    """(field_name, episode_id, n, level, posterior_common, likeliest_factor, suspect, uncertain)
+    of every source of a vector quantity that states no unit: the posterior of the common unit in
+    a log-scale mixture fitted to all such sources of the quantity, the likeliest factor, whether
+    the scale makes the common unit doubtful, and whether no unit is certain. Reported, not
+    applied: the contract says that the common unit holds where none is stated."""
     from tracewright.session import stage
 
-    lev = stage(lev, "joint-levels")
-    factors = sorted(set(TABLES["angle_rate"].values()))
-    model = log_level_mixture(lev.where("unstated"), factors, lev.where("not unstated"))
-    common = F.get("post", F.lit(factors.index(1.0)))
-    return with_posterior(lev.where("unstated"), model).select(
-        "episode_id", "n", "level", common.alias("posterior_common"), (common < 1 - CERTAIN).alias("suspect"), (F.array_max("post") < CERTAIN).alias("uncertain")
-    )
+    lev = stage(source_levels(joint_states, streams_index, "joint_states").unionByName(source_levels(robot_state, streams_index, "robot_state_rt")), "levels")
+    out = None
+    for name, _, _, _, kind in VECTORS:
+        mine = lev.where(F.col("field_name") == name)
+        factors = sorted(set(TABLES[kind].values()))
+        model = log_level_mixture(mine.where("unstated"), factors, mine.where("not unstated"))
+        best = F.array_max("post")
+        part = with_posterior(mine.where("unstated"), model).select(
+            "field_name", "episode_id", "n", "level", F.get("post", F.lit(factors.index(1.0))).alias("posterior_common"),
+            F.get(F.lit(factors), F.array_position("post", best).cast("int") - 1).alias("likeliest_factor"), (F.get("post", F.lit(factors.index(1.0))) < 1 - CERTAIN).alias("suspect"), (best < CERTAIN).alias("uncertain"),
+        )
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 def found(joint_states: DataFrame, robot_state: DataFrame, gripper: DataFrame, streams_index: DataFrame) -> DataFrame:

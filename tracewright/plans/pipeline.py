@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tracewright.operators import compact, drift, grid, spikes, unitfix
 from tracewright.session import table
@@ -24,11 +25,46 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return drift.found(table(spark, d, "raw_files"))
 
 
+def p4_joints(spark: SparkSession, d: str) -> DataFrame:
+    return unitfix.convert_joints(table(spark, d, "joint_states"), table(spark, d, "streams_index"))
+
+
+def p4_wrenches(spark: SparkSession, d: str) -> DataFrame:
+    return unitfix.convert_wrenches(table(spark, d, "robot_state_rt"), table(spark, d, "streams_index"))
+
+
+def p4_gripper(spark: SparkSession, d: str) -> DataFrame:
+    return unitfix.convert_gripper(table(spark, d, "gripper_state"), table(spark, d, "streams_index"))
+
+
+def p4_suspicion(spark: SparkSession, d: str) -> DataFrame:
+    return unitfix.suspicion(*(table(spark, d, n) for n in ("joint_states", "robot_state_rt", "streams_index")))
+
+
+def p5_versions(spark: SparkSession, d: str) -> DataFrame:
+    return drift.versions(table(spark, d, "raw_files"))
+
+
+def p5_unified_robot_state(spark: SparkSession, d: str) -> DataFrame:
+    return drift.unified(table(spark, d, "raw_files"), "robot_state_rt").withColumn("others", F.to_json("others"))
+
+
+def p5_unified_gripper(spark: SparkSession, d: str) -> DataFrame:
+    return drift.unified(table(spark, d, "raw_files"), "gripper_state").withColumn("others", F.to_json("others"))
+
+
+def p1_grid(spark: SparkSession, d: str) -> DataFrame:
+    return grid.regular(table(spark, d, "joint_states"), table(spark, d, "frames"), table(spark, d, "metadata"))
+
+
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return compact.found(table(spark, d, "raw_files"))
 
 
-QUERIES = {"p5_found": p5_found, "p7_found": p7_found, "p1_found": p1_found, "p3_found": p3_found, "p4_found": p4_found}
+QUERIES = {
+    "p1_found": p1_found, "p1_grid": p1_grid, "p3_found": p3_found, "p4_found": p4_found, "p4_joints": p4_joints, "p4_wrenches": p4_wrenches, "p4_gripper": p4_gripper, "p4_suspicion": p4_suspicion,
+    "p5_found": p5_found, "p5_versions": p5_versions, "p5_unified_robot_state": p5_unified_robot_state, "p5_unified_gripper": p5_unified_gripper, "p7_found": p7_found,
+}
 _STAMP = """coalesce(try_cast(source_stamp as double),
   try_cast(json_extract_string(case when source_stamp like '{%' then source_stamp end, '$.sec') as double)
   + 1e-9 * try_cast(json_extract_string(case when source_stamp like '{%' then source_stamp end, '$.nanosec') as double))"""
