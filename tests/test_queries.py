@@ -24,3 +24,10 @@ def test_flagship(spark):
 
 def test_sql_keys_are_queries():
     assert set(entry.oracle_sql()) <= set(entry.queries())
+
+
+@pytest.mark.parametrize("name", [n for n in NAMES if n not in entry.oracle_sql()])
+def test_for_rows(spark, sf, name):
+    df = entry.queries()[name](spark, sf)
+    assert df.columns and len(set(df.columns)) == len(df.columns)
+    assert df.count() >= 0

@@ -43,7 +43,7 @@ def test_csv_keeps_rows_in_order(spark, tmp_path):
 
 def test_stream_path(spark):
     df = spark.createDataFrame([("tf", None), ("tf", "../x"), ("tf", "a/b.jsonl"), ("odd", None)], "s string, p string")
-    assert [r[0] for r in df.select(readers.stream_path(F.col("s"), F.col("p"))).collect()] == ["streams/tf.jsonl", None, "a/b.jsonl", None]
+    assert [r[0] for r in df.select(readers.stream_path(F.col("s"), F.col("p"))).collect()] == ["streams/tf.jsonl", None, "a/b.jsonl", "streams/odd.jsonl"]
 
 
 def test_images(spark, tmp_path):

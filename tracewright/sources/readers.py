@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,16 +29,22 @@ DEFAULT_PATHS = {
 }
 
 
+def _numbered(df: DataFrame, name: str, first: int) -> DataFrame:
+    """Adds ``path`` and the row's number in its file. Files may be read in many blocks: a row's
+    place in its block comes from the scan, and what the blocks before hold from a table with
+    one row a block, so a file of any size spreads."""
+    rows = df.select("*", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("__block"), F.monotonically_increasing_id().alias("__at"))
+    per = rows.groupBy("path", "__block").agg(F.min("__at").alias("__start"), F.count("*").alias("n"))
+    past = F.sum("n").over(Window.partitionBy("path").orderBy("__block").rowsBetween(Window.unboundedPreceding, -1))
+    per = per.select(F.col("path").alias("__path"), F.col("__block").alias("__b"), (F.coalesce(past, F.lit(0)) - F.col("__start") + first).alias("__shift"))
+    same = (F.col("path") == F.col("__path")) & (F.col("__block") == F.col("__b"))
+    return rows.join(per, same).withColumn(name, (F.col("__at") + F.col("__shift")).cast("long")).drop("__at", "__block", "__path", "__b", "__shift")
+
+
 def csv_rows(spark: SparkSession, paths: str | list[str], columns: list[str]) -> DataFrame:
     """Rows of headed CSV files as text, with ``path`` and ``row`` (0-based in the file)."""
     schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    df = spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(paths)
-    df = df.select("*", F.col("_metadata.file_path").alias("path"), F.monotonically_increasing_id().alias("__at"), F.spark_partition_id().alias("__part"))
-    from pyspark.sql import Window
-
-    # a file is read in order of its blocks, partitions of one file in order of their ids
-    w = Window.partitionBy("path").orderBy("__part", "__at")
-    return df.withColumn("row", F.row_number().over(w) - 1).drop("__at", "__part")
+    return _numbered(spark.read.schema(schema).option("header", True).option("enforceSchema", False).csv(paths), "row", 0)
 
 
 def as_numbers(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -62,12 +68,18 @@ def json_objects(spark: SparkSession, paths: str | list[str]) -> DataFrame:
 def strict_jsonl(spark: SparkSession, paths: str | list[str]) -> DataFrame:
     """(path, line_no, v, error) of every line (1-based; an empty end of the file is none);
     blank lines, lines that do not parse and lines that are no objects carry an error. The
-    JSON literal NaN counts as not parsing."""
-    t = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.regexp_replace("value", "\r?\n$", "").alias("value"))
-    lines = t.where(F.length("value") > 0).select("path", F.posexplode(F.split("value", "\r?\n")).alias("at", "line"))
-    v = F.try_parse_json("line")
-    error = F.when(F.length(F.trim("line")) == 0, "blank line").when(v.isNull(), "not valid JSON").when(~F.schema_of_variant(v).startswith("OBJECT"), "not an object")
-    return lines.select("path", (F.col("at") + 1).alias("line_no"), v.alias("v"), error.alias("error"))
+    JSON literal NaN counts as not parsing. Files are read in blocks, however large."""
+    lines = _numbered(spark.read.text(paths), "line_no", 1)
+    v = F.try_parse_json("value")
+    error = F.when(F.length(F.trim("value")) == 0, "blank line").when(v.isNull(), "not valid JSON").when(~F.schema_of_variant(v).startswith("OBJECT"), "not an object")
+    return lines.select("path", "line_no", v.alias("v"), error.alias("error"))
+
+
+def index_jsonl(spark: SparkSession, root: str, streams: list[str]) -> DataFrame:
+    """(stream_name, path, line_no, v, error): the index of every camera folder of an episode,
+    <root>/<stream>/index.jsonl."""
+    lines = strict_jsonl(spark, [os.path.join(root, s, "index.jsonl") for s in streams])
+    return lines.select(F.element_at(F.split("path", "/"), -2).alias("stream_name"), "path", "line_no", "v", "error")
 
 
 def lenient_jsonl(spark: SparkSession, paths: str | list[str], schema: T.StructType) -> DataFrame:
@@ -111,14 +123,22 @@ def images(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root).select("path", "length")
 
 
-def image_status(frames: DataFrame, files: DataFrame, column: str, root: str) -> DataFrame:
-    """Adds <column>_status: ok, absent (missing, or empty: the listing has no empty files)
-    or unnamed, by a join with the listing."""
-    f = files.where("length > 0").select(F.regexp_replace("path", "^file:/+", "/").alias("__p"))
-    full = F.when(F.col(column).startswith("/"), F.col(column)).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), F.col(column)))
-    j = frames.withColumn("__full", full).join(f, F.col("__full") == F.col("__p"), "left")
-    status = F.when(~non_empty(F.col(column)), "unnamed").when(F.col("__p").isNull(), "absent").otherwise("ok")
-    return j.withColumn(f"{column}_status", status).drop("__full", "__p")
+def image_status(frames: DataFrame, files: DataFrame, column: str, root: str, fallback: str | None = None) -> DataFrame:
+    """Adds <column>_status: ok, empty, absent or unnamed, by a join with the listing (that of
+    ``images`` has no empty files: they come out as absent). A relative
+    path is looked for under ``root``, then under ``fallback`` if there is one; <column>_resolved
+    is where it was found."""
+    f = files.groupBy(F.regexp_replace("path", "^file:/+", "/").alias("p")).agg(F.max("length").alias("n"))
+    full = lambda base: F.when(F.col(column).startswith("/"), F.col(column)).otherwise(F.concat(F.lit(base.rstrip("/") + "/"), F.col(column)))
+    j = frames.withColumn("__at0", full(root)).join(f.select(F.col("p").alias("__p0"), F.col("n").alias("__n0")), F.col("__at0") == F.col("__p0"), "left")
+    places = [("__at0", "__n0")]
+    if fallback is not None:
+        j = j.withColumn("__at1", full(fallback)).join(f.select(F.col("p").alias("__p1"), F.col("n").alias("__n1")), F.col("__at1") == F.col("__p1"), "left")
+        places.append(("__at1", "__n1"))
+    size = F.coalesce(*(F.col(n) for _, n in places))
+    at = F.coalesce(*(F.when(F.col(n).isNotNull(), F.col(a)) for a, n in places))
+    status = F.when(~non_empty(F.col(column)), "unnamed").when(size.isNull(), "absent").when(size == 0, "empty").otherwise("ok")
+    return j.withColumn(f"{column}_status", status).withColumn(f"{column}_resolved", at).drop("__at0", "__p0", "__n0", "__at1", "__p1", "__n1")
 
 
 def side_file(main: DataFrame, side: DataFrame, key: list[str]) -> DataFrame:
