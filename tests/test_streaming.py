@@ -1,11 +1,14 @@
 import json
+import os
 
 from tracewright.streaming import live
 
 
-def feed(path, name, rows):
+def feed(path, name, rows, at=1_700_000_000):
+    """A file that arrived at ``at``: the source takes files by the time of their last change."""
     path.mkdir(parents=True, exist_ok=True)
     (path / name).write_text("\n".join(json.dumps(r) for r in rows) + "\n")
+    os.utime(path / name, (at, at))
 
 
 def rec(e, k, x, last=False):
@@ -14,7 +17,7 @@ def rec(e, k, x, last=False):
 
 def test_steps_come_as_records_arrive(spark, tmp_path):
     feed(tmp_path / "in", "a.jsonl", [rec("a", 0, 0.0), rec("a", 1, 0.5), rec("b", 0, 1.0)])
-    feed(tmp_path / "in", "b.jsonl", [rec("a", 2, 1.5, True), rec("a", 1, 0.5), rec("b", 1, 0.0)])
+    feed(tmp_path / "in", "b.jsonl", [rec("a", 2, 1.5, True), rec("a", 1, 0.5), rec("b", 1, 0.0)], 1_700_000_060)
     q = live.live_steps(live.read_lines(spark, str(tmp_path / "in"), files_per_trigger=1)).writeStream.format("memory").queryName("steps").outputMode("append").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp")).start()
     q.awaitTermination(120)
     got = {(r["episode_id"], r["record_index"]): (r["dx"], r["terminal"]) for r in spark.table("steps").collect()}

@@ -19,9 +19,10 @@ def test_camera_views(spark):
     s = spark.createDataFrame([("a", "tcp_camera", "camera", None), ("a", "external_camera_1", "camera", "external"), ("b", "external_camera_1", "camera", None), ("b", "external_camera_2", "camera", None), ("c", "tf", "x", None)], "episode_id string, stream_name string, kind string, role string")
     got = {(r["episode_id"], r["view"]): (r["stream_name"], r["error"]) for r in cameras.select_views(s).collect()}
     assert got[("a", "tcp")] == ("tcp_camera", None) and got[("b", "external")] == (None, "multiple candidates") and got[("c", "tcp")] == (None, "no camera stream")
-    e = spark.createDataFrame([("b", "external", "external_camera_2", 1), ("a", "tcp", "x", 1), ("a", "tcp", "y", 1)], "episode_id string, view string, stream_name string, priority int")
+    s = s.unionByName(spark.createDataFrame([("a", "wrist_camera", "camera", None)], s.schema))
+    e = spark.createDataFrame([("b", "external", "external_camera_2", 1), ("a", "tcp", "tcp_camera", 1), ("a", "tcp", "wrist_camera", 1), ("a", "external", "x", 1)], "episode_id string, view string, stream_name string, rank int")
     got = {(r["episode_id"], r["view"]): (r["stream_name"], r["source"], r["error"]) for r in cameras.select_views(s, e).collect()}
-    assert got[("b", "external")] == ("external_camera_2", "explicit", None) and got[("a", "tcp")][2] == "conflicting assignments"
+    assert got[("b", "external")] == ("external_camera_2", "explicit", None) and got[("a", "tcp")][2] == "conflicting assignments" and got[("a", "external")][2] == "assignment names no camera stream"
 
 
 def test_labels(spark):
