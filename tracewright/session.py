@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 BROADCAST_LIMIT_BYTES = 48 << 20
 
 _scratch_dirs: list[tuple[SparkSession, str]] = []
+_registered = False
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -38,8 +39,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     path = f"{shared_dir(spark).rstrip('/')}/tracewright/{name}-{uuid.uuid4().hex}"
-    if not _scratch_dirs:
+    global _registered
+    if not _registered:
         atexit.register(_clean)
+        _registered = True
     _scratch_dirs.append((spark, path))
     return path
 
@@ -50,6 +53,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def release(spark: SparkSession) -> int:
+    """Deletes the tables staged so far in the session's shared folder; their number. Results
+    that still read them must have been written or collected before. A long session calls this
+    between queries, so that its disk does not fill; what is left goes at exit."""
+    mine = [p for s, p in _scratch_dirs if s is spark]
+    for path in mine:
+        remove_path(spark, path)
+    _scratch_dirs[:] = [(s, p) for s, p in _scratch_dirs if s is not spark]
+    return len(mine)
+
+
 def _clean() -> None:
     for spark, path in _scratch_dirs:
         try:
