@@ -101,8 +101,9 @@ def test_no_python_row_udf(spark, sf):
 
 def test_fill_of_real_readings_is_no_worse_than_a_line(spark):
     """One reading in twenty of a data table is hidden and filled; errors are held against those
-    of straight lines between the readings left."""
-    d = "/root/testdata/sf0.01"
+    of straight lines between the readings left. On the largest table: the 111 hidden cells of
+    sf0.01 are too few to tell the two apart (a mean of 0.42 against 0.38 there)."""
+    d = "/root/testdata/sf0.1"
     j, m = spark.read.parquet(f"{d}/joint_states.parquet"), spark.read.parquet(f"{d}/metadata.parquet")
     full = grid.cells(grid.joint_readings(j), m).where("observed").select("episode_id", "k", "vals").toPandas()
     hide = F.pmod(F.xxhash64("episode_id", "record_index"), F.lit(20)) == 0
@@ -119,4 +120,4 @@ def test_fill_of_real_readings_is_no_worse_than_a_line(spark):
         for c in range(6):
             line[g.index, c] = np.interp(g.k.values, o.k.values, v[:, c])
     error = lambda a: float((np.abs(a - true) / size).mean())
-    assert len(x) > 50 and error(fill) <= 1.1 * error(line)
+    assert len(x) > 1000 and error(fill) <= 1.1 * error(line)
